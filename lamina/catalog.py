@@ -1,11 +1,342 @@
-"""The queries of the Parquet toolkit and their oracles."""
+"""The queries of the Parquet toolkit, one for each operator, and their oracles."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lamina.functions import converters
+from lamina.operators import inspection
+from lamina.plans.types import type_mapping
+from lamina.plans.write_schema import infer_parquet_schema, parquet_schema
+from lamina.session import shared_dir
+from lamina.sources.scan import ParquetFile, open_parquet, read_parquet, read_plan
+from lamina.sources.write import CODECS, notes, write_dataset, write_parquet
+from lamina.streaming.stream import read_stream
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if oracle is not None:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def at(sf_dir: str, name: str) -> str:
+    return f"{sf_dir}/{name}.parquet"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/lamina/{name}-{uuid.uuid4().hex}.parquet"
+
+
+def grouped_events(spark: SparkSession, sf_dir: str) -> ParquetFile:
+    """Events by id in row groups of 1,000, with bloom filters."""
+    path = scratch(spark, "events")
+    write_parquet(spark.read.parquet(at(sf_dir, "events")).select("event_id", "user_id", "event_type", "value"), path, row_group_size=1000, sorted_by=["event_id"], sort=True, bloom_filters=["event_id"])
+    return open_parquet(spark, path)
+
+
+# Scans
+
+
+@query("SELECT epoch_us(l_shipdate) AS shipped, l_orderkey::DOUBLE AS l_orderkey, l_quantity FROM lineitem")
+def collect_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = open_parquet(spark, at(sf_dir, "lineitem")).collect(["l_shipdate", "l_orderkey", "l_quantity"])
+    return df.select(F.unix_micros("l_shipdate").alias("shipped"), "l_orderkey", "l_quantity")
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, epoch_us(o_orderdate) AS ordered, o_orderpriority FROM orders")
+def read_integer64(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = read_parquet(spark, at(sf_dir, "orders"), int64="integer64")
+    return df.withColumn("ordered", F.unix_micros("o_orderdate")).drop("o_orderdate")
+
+
+@query("SELECT event_id::DOUBLE AS event_id, epoch_us(ts - INTERVAL '5 hours 30 minutes') AS at FROM events")
+def collect_time_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = read_parquet(spark, at(sf_dir, "events"), ["event_id", "ts"], tz="Asia/Kolkata")
+    return df.select("event_id", F.unix_micros("ts").alias("at"))
+
+
+@query("SELECT vec_id::DOUBLE AS vec_id, label FROM embeddings")
+def collect_skips_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_parquet(spark, at(sf_dir, "embeddings"))
+
+
+@query("SELECT count(*) AS n FROM part")
+def collect_no_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_parquet(spark, at(sf_dir, "part"), []).agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_orderkey::DOUBLE AS l_orderkey, l_quantity FROM lineitem WHERE l_orderkey < 100")
+def collect_pushed_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return open_parquet(spark, at(sf_dir, "lineitem")).collect(["l_orderkey", "l_quantity"], where="l_orderkey < 100")
+
+
+@query("SELECT event_id::DOUBLE AS event_id, value FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events) WHERE r // 1000 IN (0, 2)")
+def collect_row_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = grouped_events(spark, sf_dir)
+    return f.collect(["event_id", "value"], row_groups=[g for g in (3, 1) if g <= len(f.footer.row_groups)])
+
+
+@query("SELECT (r // 1000 + 1)::INTEGER AS row_group, r // 1000 * 4 + r % 1000 // 300 + 1 AS batch, count(*) AS n, sum(event_id)::DOUBLE AS total FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events) GROUP BY 1, 2")
+def walk_batches_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = grouped_events(spark, sf_dir).numbered_batches(["event_id"], batch_size=300)
+    return df.groupBy(F.col("_row_group").alias("row_group"), F.col("_batch").alias("batch")).agg(F.count("*").alias("n"), F.sum("event_id").alias("total"))
+
+
+@query("SELECT r // 1000 * 4 + r % 1000 // 300 + 1 AS batch, count(*) AS n FROM (SELECT row_number() OVER () - 1 AS r FROM events) WHERE r < 2000 GROUP BY 1")
+def walk_batches_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f, seen = grouped_events(spark, sf_dir), []
+    f.walk_batches(lambda batch, index: seen.append((index, batch.num_rows)), ["event_id"], [g for g in (1, 2) if g <= len(f.footer.row_groups)], batch_size=300)
+    return spark.createDataFrame(seen, "batch long, n long")
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n_rows, {n}::BIGINT AS n_columns FROM {t}" for t, n in zip(TABLES, (2, 3, 5, 4, 6, 6, 11, 6), strict=True)))
+def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(t, *open_parquet(spark, at(sf_dir, t)).dim) for t in TABLES], "name string, n_rows long, n_columns long")
+
+
+@query("SELECT 'key' AS path, count(*) AS lost FROM orders WHERE o_orderkey > 100")
+def lossy_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "keys")
+    write_parquet(spark.read.parquet(at(sf_dir, "orders")).select((F.col("o_orderkey") + F.lit((1 << 53) - 100)).alias("key"), "o_totalprice"), path)
+    return open_parquet(spark, path).lossy_columns()
+
+
+# Plans
+
+
+LINEITEM = [("l_orderkey", "INT64", None), ("l_partkey", "INT64", None), ("l_suppkey", "INT64", None), ("l_linenumber", "INT32", None), ("l_quantity", "DOUBLE", None), ("l_extendedprice", "DOUBLE", None), ("l_discount", "DOUBLE", None), ("l_tax", "DOUBLE", None), ("l_returnflag", "BYTE_ARRAY", "STRING"), ("l_linestatus", "BYTE_ARRAY", "STRING"), ("l_shipdate", "INT64", "TIMESTAMP")]
+
+
+def literal(value) -> str:
+    return "NULL" if value is None else str(value) if isinstance(value, int | float) else "'" + value.replace("'", "''") + "'"
+
+
+def values(columns: str, rows: list[tuple]) -> str:
+    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(literal, r)) + ')' for r in rows)}) AS t({columns})"
+
+
+def planned(physical: str, logical: str | None) -> tuple[str, str]:
+    """What the mapping contract says of lineitem's kinds of columns, under integer64 and UTC."""
+    return {"INT64": ("integer64", "int64_bit64"), "INT32": ("integer", "int32"), "DOUBLE": ("double", "double"), "BYTE_ARRAY": ("character", "text")}[physical] if logical != "TIMESTAMP" else ("POSIXct", "timestamp_local_micros_UTC")
+
+
+@query(values('"column", path, physical_type, logical_type, r_type, converter', [(i, n, p, k, *planned(p, k)) for i, (n, p, k) in enumerate(LINEITEM, 1)]))
+def read_plan_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_plan(spark, at(sf_dir, "lineitem"), int64="integer64").select("column", "path", "physical_type", "logical_type", "r_type", "converter")
+
+
+@query(values("path, nested, collectible", [("vec_id", 0, 1), ("embedding.list.element", 1, 0), ("label", 0, 1)]))
+def read_plan_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_plan(spark, at(sf_dir, "embeddings")).select("path", F.col("nested").cast("int").alias("nested"), F.col("collectible").cast("int").alias("collectible"))
+
+
+@query(
+    values(
+        "physical_type, r_type, written_from",
+        [("BOOLEAN", "logical", "logical"), ("INT32", "integer", "integer"), ("INT64", "double", "numeric (explicit schema)"), ("INT96", "POSIXct", None), ("FLOAT", "double", "numeric (explicit schema)"), ("DOUBLE", "double", "double"), ("BYTE_ARRAY", "list", "character or factor"), ("FIXED_LEN_BYTE_ARRAY", "list", None)],
+    )
+)
+def parquet_type_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return type_mapping(spark)
+
+
+# Metadata relations
+
+
+@query(values('"column", name, path, physical_type, logical_type, logical_details, repetition_type, max_definition_level, max_repetition_level', [(i, n, n, p, k, "unit=MICROS, adjusted_to_utc=false" if k == "TIMESTAMP" else None, "OPTIONAL", 1, 0) for i, (n, p, k) in enumerate(LINEITEM, 1)]))
+def schema_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspection.schema(open_parquet(spark, at(sf_dir, "lineitem"))).drop("type_length")
+
+
+@query("SELECT (r // 1000 + 1)::INTEGER AS row_group, count(*) AS n_rows FROM (SELECT row_number() OVER () - 1 AS r FROM events) GROUP BY 1")
+def row_groups_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inspection.row_groups(grouped_events(spark, sf_dir)).select("row_group", F.col("rows").alias("n_rows"))
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS path, '{p}' AS physical_type, 'SNAPPY' AS compression, count(*) AS num_values, true AS dictionary_page, false AS bloom_filter, false AS page_index FROM lineitem" for n, p, _ in LINEITEM))
+def column_chunks_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = inspection.column_chunks(open_parquet(spark, at(sf_dir, "lineitem")))
+    return chunks.groupBy("path", "physical_type", "compression", "dictionary_page", "bloom_filter", "page_index").agg(F.sum("num_values").alias("num_values"))
+
+
+def _statistics_oracle() -> str:
+    out = []
+    for n, p, k in LINEITEM:
+        kind = "epoch_us(%s)" if k == "TIMESTAMP" else "%s"
+        i, d, s = ("NULL", "NULL", "NULL")
+        low, high = (kind % f"min({n})", kind % f"max({n})")
+        cells = {"INT64": 0, "INT32": 0, "DOUBLE": 1, "BYTE_ARRAY": 2}[p]
+        pick = lambda x: [x if j == cells else y for j, y in enumerate((i, d, s))]  # noqa: E731, B023
+        a, b = pick(low), pick(high)
+        out.append(f"SELECT '{n}' AS path, count(*) - count({n}) AS null_count, {a[0]}::BIGINT AS min_i, {a[1]}::DOUBLE + 0.0 AS min_d, {a[2]}::VARCHAR AS min_s, {b[0]}::BIGINT AS max_i, {b[1]}::DOUBLE + 0.0 AS max_d, {b[2]}::VARCHAR AS max_s FROM lineitem")
+    return " UNION ALL ".join(out)
+
+
+@query(_statistics_oracle())
+def column_statistics_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = inspection.column_statistics(open_parquet(spark, at(sf_dir, "lineitem")))
+    # A file of several row groups is summed up; adding 0.0 takes a zero's sign away.
+    return stats.groupBy("path").agg(F.sum("null_count").alias("null_count"), *[(f(f"{side}.{k}") + 0.0 if k == "d" else f(f"{side}.{k}")).alias(f"{side}_{k}") for side, f in (("min", F.min), ("max", F.max)) for k in "ids"])
+
+
+@query("SELECT (r // 1000 + 1)::INTEGER AS row_group, 0::BIGINT AS first_row, count(*) - count(event_id) AS null_count, min(event_id) AS low, max(event_id) AS high FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events) GROUP BY 1")
+def page_index_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = inspection.page_index(grouped_events(spark, sf_dir)).where("path = 'event_id'")
+    return pages.groupBy("row_group").agg(F.min("first_row").alias("first_row"), F.sum("null_count").alias("null_count"), F.min("min.i").alias("low"), F.max("max.i").alias("high"))
+
+
+@query(values("key, value", [("source", "customer"), ("source", "again"), ("empty", None)]))
+def footer_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "notes")
+    write_parquet(spark.read.parquet(at(sf_dir, "region")), path, metadata=[("source", "customer"), ("source", "again"), ("empty", None)])
+    return spark.createDataFrame(notes(spark, path)["metadata"], "key string, value string")
+
+
+@F.pandas_udf("binary")
+def point(x: pd.Series, y: pd.Series) -> pd.Series:
+    import struct
+
+    return pd.Series([struct.pack("<BIdd", 1, 1, a, b) for a, b in zip(x, y, strict=True)])
+
+
+@query("SELECT 1 AS row_group, min(c_acctbal) AS xmin, max(c_acctbal) AS xmax, min(c_nationkey)::DOUBLE AS ymin, max(c_nationkey)::DOUBLE AS ymax, 1 AS kind FROM customer")
+def geospatial_statistics_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "points")
+    write_parquet(spark.read.parquet(at(sf_dir, "customer")).select("c_custkey", point("c_acctbal", F.col("c_nationkey").cast("double")).alias("at")), path, schema=parquet_schema(at="GEOMETRY"))
+    found = inspection.geospatial_statistics(open_parquet(spark, path), ["at"])
+    return found.select("row_group", "xmin", "xmax", "ymin", "ymax", F.element_at("geometry_types", 1).alias("kind"))
+
+
+@query("SELECT event_id AS value, true AS found FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS r FROM events) WHERE r <= 200")
+def bloom_filter_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = grouped_events(spark, sf_dir)
+    wanted = [int(r.event_id) for r in f.collect(["event_id"], row_groups=[1], int64="integer64").orderBy("event_id").limit(200).collect()]
+    return spark.createDataFrame(list(zip(wanted, inspection.bloom_filter_may_contain(f, "event_id", wanted), strict=True)), "value long, found boolean")
+
+
+@query(values("name, valid", [(t, "true") for t in TABLES]))
+def validate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(t, str(inspection.validate_parquet(spark, at(sf_dir, t))).lower()) for t in TABLES], "name string, valid string")
+
+
+# Writes
+
+
+@query(values("name, physical_type, logical_type, logical_details, repetition_type", [("p_partkey", "INT64", None, None, "REQUIRED"), ("p_name", "BYTE_ARRAY", "STRING", None, "REQUIRED"), ("big", "INT32", None, None, "OPTIONAL"), ("day", "INT32", "DATE", None, "REQUIRED"), ("at", "INT64", "TIMESTAMP", "unit=MICROS, adjusted_to_utc=true", "REQUIRED")]))
+def infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = spark.read.parquet(at(sf_dir, "part"))
+    return infer_parquet_schema(df.select("p_partkey", "p_name", F.when(F.col("p_size") > 10, F.col("p_size")).alias("big"), F.date_from_unix_date(F.col("p_size")).alias("day"), F.timestamp_seconds("p_size").alias("at")))
+
+
+def _round_trip(codec: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch(spark, f"trip-{codec}")
+        write_parquet(spark.read.parquet(at(sf_dir, "customer")), path, compression=codec, row_group_size=500)
+        return read_parquet(spark, path, int64="integer64")
+
+    run.__name__ = f"write_{codec}"
+    return run
+
+
+for _codec in CODECS:
+    query("SELECT * FROM customer")(_round_trip(_codec))
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, df = scratch(spark, "append"), spark.read.parquet(at(sf_dir, "customer")).select("c_custkey", "c_name")
+    write_parquet(df.where("c_custkey % 2 = 0"), path)
+    write_parquet(df.where("c_custkey % 2 = 1"), path, append=True)
+    return read_parquet(spark, path, int64="integer64")
+
+
+@query("SELECT p_partkey::INTEGER AS p_partkey, p_retailprice::FLOAT::DOUBLE AS p_retailprice, p_size::BIGINT AS p_size FROM part")
+def write_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "declared")
+    write_parquet(spark.read.parquet(at(sf_dir, "part")).select("p_partkey", "p_retailprice", "p_size"), path, schema=parquet_schema(p_partkey="int32", p_retailprice="FLOAT", p_size={"type": "INT64", "repetition_type": "OPTIONAL"}))
+    return read_parquet(spark, path, int64="integer64")
+
+
+@query("SELECT s_nationkey, s_suppkey, s_acctbal FROM supplier")
+def write_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "dataset")
+    write_dataset(spark.read.parquet(at(sf_dir, "supplier")).drop("s_name"), path, partition_by=["s_nationkey"], sorted_by=["s_suppkey"])
+    return spark.read.parquet(path)
+
+
+@query("SELECT event_id::DOUBLE AS event_id, value FROM events")
+def stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, out = scratch(spark, "arriving"), scratch(spark, "streamed")
+    write_parquet(spark.read.parquet(at(sf_dir, "events")).select("event_id", "value"), f"{folder}/1.parquet")
+    stream = read_stream(spark, folder, f"{folder}/1.parquet")
+    stream.writeStream.format("parquet").option("checkpointLocation", scratch(spark, "offsets")).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out)
+
+
+# Converters
+
+
+@query("SELECT c_custkey, md5(c_name)[1:8] || '-' || md5(c_name)[9:12] || '-' || md5(c_name)[13:16] || '-' || md5(c_name)[17:20] || '-' || md5(c_name)[21:32] AS id FROM customer")
+def convert_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(at(sf_dir, "customer")).select("c_custkey", converters.uuid_text(F.unhex(F.md5("c_name"))).alias("id"))
+
+
+@query("SELECT o_orderkey, CASE WHEN h // 32768 = 1 THEN -1.0 ELSE 1.0 END * CASE WHEN h // 1024 % 32 = 0 THEN (h % 1024) * pow(2.0, -24) ELSE (h % 1024 + 1024) * pow(2.0, h // 1024 % 32 - 25) END AS half FROM (SELECT o_orderkey, o_orderkey * 7919 % 65536 AS h FROM orders) WHERE h // 1024 % 32 < 31")
+def convert_float16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.col("o_orderkey") * 7919 % 65536
+    digits = F.lpad(F.hex(h), 4, "0")
+    raw = F.unhex(F.concat(F.substring(digits, 3, 2), F.substring(digits, 1, 2)))
+    return spark.read.parquet(at(sf_dir, "orders")).where(F.shiftright(h, 10) % 32 < 31).select("o_orderkey", converters.float16(raw).alias("half"))
+
+
+@query("SELECT event_id, (event_id * 1234567 % 86400000) / 1000.0 AS ms, (event_id * 1234567891 % 86400000000) / 1000000.0 AS us FROM events")
+def convert_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("event_id")
+    return spark.read.parquet(at(sf_dir, "events")).select("event_id", converters.time_of_day(e * 1234567 % 86_400_000, "millis", "numeric").alias("ms"), converters.time_of_day(e * 1234567891 % F.lit(86_400_000_000), "micros", "numeric").alias("us"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey <= 500 THEN (o_orderkey + 9007199254740492)::DOUBLE END AS d, o_orderkey + 9007199254740492 AS i FROM orders")
+def convert_int64(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("o_orderkey") + F.lit((1 << 53) - 500)
+    return spark.read.parquet(at(sf_dir, "orders")).select("o_orderkey", converters.int64_double(c).alias("d"), converters.int64_bit64(c).alias("i"))
+
+
+@query("SELECT o_orderkey, o_totalprice::DECIMAL(15,2)::DOUBLE AS price FROM orders")
+def convert_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(at(sf_dir, "orders")).select("o_orderkey", converters.decimal_double(F.col("o_totalprice").cast("decimal(15,2)")).alias("price"))
+
+
+@query("SELECT event_id, epoch_us(ts) AS at FROM events")
+def convert_nanos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000 + F.col("event_id") % 1000
+    return spark.read.parquet(at(sf_dir, "events")).select("event_id", F.unix_micros(converters.timestamp_nanos(nanos)).alias("at"))
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def convert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(at(sf_dir, "customer")).select("c_custkey", converters.text(F.col("c_name"), "c_name").alias("c_name"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
