@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.functions import converters
 from lamina.operators import inspection
@@ -209,7 +210,7 @@ def footer_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(notes(spark, path)["metadata"], "key string, value string")
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def point(x: pd.Series, y: pd.Series) -> pd.Series:
     import struct
 

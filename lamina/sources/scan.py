@@ -118,7 +118,7 @@ class ParquetFile:
             if name not in [f.name for f in fields]:
                 row = self.selected([name], build_plan(leaves))[0]
                 fields.append(T.StructField(name, converters.read_type(leaves[row.column - 1]), True))
-        df = self.spark.read.option("parquet.page.verify-checksum.enabled", str(self.checksums).lower()).schema(T.StructType(fields)).parquet(self.path)
+        df = self.reader([r.path for r in rows]).read.option("parquet.page.verify-checksum.enabled", str(self.checksums).lower()).schema(T.StructType(fields)).parquet(self.path)
         if wanted is not None:
             bounds = [(g.first_row, g.first_row + g.rows) for g in self.footer.row_groups if g.row_group in wanted]
             merged: list[list[int]] = []
@@ -130,6 +130,19 @@ class ParquetFile:
             df = df.where(" OR ".join(f"(_metadata.row_index >= {a} AND _metadata.row_index < {b})" for a, b in merged) or "false")
         return df
 
+    def reader(self, paths: list[str]) -> SparkSession:
+        """The session to read with.
+
+        Spark's vectorized reader can't decode BYTE_STREAM_SPLIT; files that
+        have it in a chosen column are read by the row reader, in a copy of the
+        session, so that other reads keep theirs.
+        """
+        if not any("BYTE_STREAM_SPLIT" in c.encodings for c in self.footer.chunks if c.path in paths):
+            return self.spark
+        own = SparkSession(self.spark.sparkContext, self.spark._jsparkSession.cloneSession())
+        own.conf.set("spark.sql.parquet.enableVectorizedReader", "false")
+        return own
+
     def collect(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, *, int64: str = "double", time: str = "numeric", tz: str = "UTC", where: str | None = None, where_columns: Sequence[str] = (), validate_text: bool = True, ordered: bool = False, verbose: bool = False) -> DataFrame:
         """A lazy DataFrame of the chosen columns, converted as the plan says.
 

@@ -81,7 +81,7 @@ def cast(df: DataFrame, fields: list[WriteField], notes: dict) -> DataFrame:
             # The last value is never reached; it tells Catalyst that there are no nulls.
             c = F.coalesce(c, F.raise_error(f"Required column `{w.name}` contains missing values.").cast(kind), F.lit(NEVER[kind.simpleString()]).cast(kind))
         elif w.repetition_type == "OPTIONAL" and not now.nullable:
-            c = F.when(F.lit(True) | c.isNull(), c)
+            c = F.try_element_at(F.create_map(F.lit(0), c), F.lit(0))  # may be null, as far as Catalyst can tell
         about = dict(notes) if i == 0 else {}
         if w.logical_type in ("GEOMETRY", "GEOGRAPHY"):
             about[LOGICAL] = f"{w.logical_type}({w.logical_details})"
