@@ -1,0 +1,175 @@
+"""Near copies and nearest neighbours against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from lamina.llm import graph, nearest, simhash
+
+from .conftest import ODD
+
+
+def brute_fingerprint(text):
+    import re
+
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def components(n, links):
+    up = list(range(n))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in links:
+        a, b = top(a), top(b)
+        up[max(a, b)] = min(a, b)
+    return [top(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("text", [*ODD, "One two three", "One two", "x y z\x0bw v", "ÀB cd EF gh"])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text.encode()) == brute_fingerprint(text)
+
+
+def clustered(n, seed):
+    r = np.random.default_rng(seed)
+    base = r.integers(0, 1 << 63, n // 5, dtype=np.uint64)
+    near = np.concatenate([base ^ (np.uint64(1) << r.integers(0, 64, len(base)).astype(np.uint64)) ^ (np.uint64(1) << r.integers(0, 64, len(base)).astype(np.uint64)) for _ in range(4)])
+    out = np.unique(np.concatenate([base, near]))
+    r.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("leaf", [16, 64, 100_000])
+def test_tree_search_is_exact(leaf):
+    fps = clustered(2000, leaf)
+    a, b = np.nonzero(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3)
+    want = simhash.Forest(len(fps))
+    want.link(a, b)
+    want.flatten()
+    assert np.array_equal(simhash.search(fps, np.ones(len(fps), bool), leaf=leaf), want.up)
+    tree = simhash.grow(fps[:400], 8)
+    row, number, home = simhash.deal(tree, fps)
+    assert home.sum() == len(fps) and len(np.unique(number)) > 2
+    got = simhash.Forest(len(fps))
+    for k in np.unique(number):
+        own = row[number == k]
+        got.link(own, own[simhash.search(fps[own], home[number == k], leaf=leaf)])
+    got.flatten()
+    assert np.array_equal(got.up, want.up)
+
+
+def test_identical_distances_end():
+    # A dense ball can't be split; it is compared block by block.
+    base = np.uint64(12345)
+    fps = np.array(sorted({int(base ^ np.uint64((1 << a) | (1 << b))) for a in range(64) for b in range(64)}), dtype=np.uint64)
+    assert len(set(simhash.search(fps, np.ones(len(fps), bool), leaf=64).tolist())) == 1
+
+
+def test_components(spark):
+    r = random.Random(4)
+    edges = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5001 + i) for i in range(200)] + [(7, 7)]
+    got = {x.node: x.root for x in graph.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = components(6000, edges)
+    assert got == {n: want[n] for n in {x for a, b in edges if a != b for x in (a, b)}}
+    assert graph.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_duplicates(spark, make):
+    r = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(25):
+        words = [r.choice(vocabulary) for _ in range(200)]
+        for j in range(r.randint(1, 6)):
+            some = list(words)
+            for _ in range(j // 2):
+                some[r.randrange(200)] = "changed"
+            rows.append((1000 * i + 7 * j, " ".join(some)))
+    rows += [(50_001, None), (50_000, ""), (50_002, " \n"), (50_003, "short"), (50_004, "SHORT"), (7, rows[0][1]), (None, rows[0][1]), (None, "alone without id")] + [(60_000 + i, t) for i, t in enumerate(ODD)]
+    got = simhash.near_duplicates(make(rows)).collect()
+    assert len(got) == len(rows)
+    fps = [brute_fingerprint(t or "") for _, t in rows]
+    n = len(rows)
+    group = components(n, [(a, b) for a in range(n) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 3])
+    least = {}
+    for (i, _), g in zip(rows, group, strict=True):
+        if i is not None:
+            least[g] = min(i, least.get(g, i))
+    want = sorted((str(i), fps[k], str(least.get(group[k]))) for k, (i, _) in enumerate(rows))
+    assert sorted((str(x.doc_id), x.fp % 2**64, str(x.component_id)) for x in got) == want
+    assert simhash.near_duplicates(make([])).count() == 0
+
+
+def test_many_leaves(spark):
+    fps = clustered(1500, 9)
+    df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    edges = [(int(r.a), int(r.b)) for r in simhash.links(df, leaf_size=100).collect()]
+    number = {int(f): i for i, f in enumerate(fps.view(np.int64))}
+    got = simhash.Forest(len(fps))
+    got.link(np.array([number[a] for a, _ in edges]), np.array([number[b] for _, b in edges]))
+    got.flatten()
+    assert np.array_equal(got.up, simhash.search(fps, np.ones(len(fps), bool), leaf=10**6))
+
+
+def test_hilbert_is_a_curve():
+    side = np.arange(8)
+    cells = np.stack([g.ravel() for g in np.meshgrid(side, side, side, indexing="ij")], axis=1)
+    order = nearest.hilbert(cells, 3)
+    assert sorted(order.tolist()) == list(range(512))
+    along = cells[np.argsort(order)]
+    assert (np.abs(np.diff(along, axis=0)).sum(axis=1) == 1).all()
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, score double")
+
+
+def brute_nearest(rows, every, k):
+    fine = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v, _ in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = []
+    for q in sorted({i for i, _ in fine if i % every == 0}):
+        own = min((v.tobytes(), tuple(v)) for i, v in fine if i == q)[1]
+        some = sorted((float(np.sqrt(((np.array(own) - v) ** 2).sum())), i) for i, v in fine if i != q)
+        out += [(q, n + 1, i, d) for n, (d, i) in enumerate(some[:k])]
+    return out
+
+
+@pytest.mark.parametrize("n", [5, 3000])
+def test_search(spark, n):
+    r = np.random.default_rng(n)
+    centers = r.normal(size=(6, 8))
+    rows = [(i, (centers[i % 6] + 0.1 * r.normal(size=8)).tolist(), 1.0) for i in range(n)]
+    rows += [(10_000 + i, rows[0][1], 1.0) for i in range(400)]  # a large group of copies: ties
+    rows += [(20_000, None, 1.0), (20_100, [0.0] * 8, 1.0), (20_200, [float("nan")] + [1.0] * 7, 1.0), (20_300, [None] + [1.0] * 7, 1.0), (20_400, [float("inf")] + [1.0] * 7, 1.0), (None, [1.0] * 8, 1.0)]
+    got = sorted((x.query_id, x.rank, x.vec_id, x.score) for x in nearest.search(vectors(spark, rows)).collect())
+    want = brute_nearest(rows, 100, 10)
+    assert [x[:3] for x in got] == [x[:3] for x in want]
+    assert np.allclose([x[3] for x in got], [x[3] for x in want], rtol=1e-14, atol=0)
+
+
+def test_search_edges(spark):
+    assert nearest.search(vectors(spark, [])).count() == 0
+    assert nearest.search(vectors(spark, [(1, [1.0, 2.0], 0.0)])).count() == 0
+    assert nearest.search(vectors(spark, [(100, [1.0, 2.0], 0.0)])).count() == 0
+    two = nearest.search(vectors(spark, [(100, [1.0, 2.0], 0.0), (5, [1.0, 3.0], 0.0)])).collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in two] == [(100, 1, 5, 1.0)]
+
+
+def test_rounds(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "ROUND", 7)
+    r = np.random.default_rng(1)
+    rows = [(i, r.normal(size=6).tolist(), 1.0) for i in range(600)]
+    got = sorted((x.query_id, x.rank, x.vec_id) for x in nearest.search(vectors(spark, rows), every=20, k=3).collect())
+    assert got == [x[:3] for x in brute_nearest(rows, 20, 3)]
