@@ -35,3 +35,9 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lamina-"))
         at = spark.sparkContext.getCheckpointDir()
     return at.rstrip("/")
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Removes what the toolkit has staged in the shared folder; results that still read it must be written before."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lamina")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
