@@ -24,6 +24,8 @@ from lamina.llm.graph import connected
 from lamina.llm.shared import shuffle_width, stage, text_slices, texts_of
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
+#: Beyond, leaves hold more fingerprints instead (8 bytes each); their own trees divide them further.
+MOST_LEAVES = 1 << 14
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -173,12 +175,12 @@ def links(distinct: DataFrame, leaf_size: int = 16_384, sample_per_leaf: int = 6
     """``a, b``: a spanning forest, leaf by leaf, of the links among distinct fingerprints (column fp).
 
     The tree of leaves is made on the driver from a sample that is bounded by
-    ``sample_per_leaf`` fingerprints a leaf; it decides where pairs meet, not
+    ``sample_per_leaf`` fingerprints a leaf, a million at most; it decides where pairs meet, not
     which are found.  A group of near copies, however large, has few distinct
     fingerprints: 43,745 lie within 3 bits of one.
     """
     spark = distinct.sparkSession
-    leaves = max(1, -(-distinct.count() // leaf_size))
+    leaves = min(MOST_LEAVES, max(1, -(-distinct.count() // leaf_size)))
     bound = sample_per_leaf * leaves
     sample = np.array(sorted(r.fp for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(bound).collect()), dtype=np.int64).view(np.uint64) if leaves > 1 else np.empty(0, np.uint64)
     tree = grow(sample, leaves)

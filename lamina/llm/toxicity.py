@@ -1,7 +1,7 @@
 """Toxicity scores from subword-bag embeddings under a linear softmax.
 
 A word's vector is the mean of its character n-gram vectors, a document's the
-mean of its words' vectors; embeddings and softmax weights are trained jointly.
+mean of its distinct words' vectors; embeddings and softmax weights are trained jointly.
 A misspelling that was never seen shares most n-grams with what was.  As all is
 linear before the softmax, a word adds a fixed amount to a document's score, so
 scoring works out each distinct word once for a batch.
@@ -35,6 +35,13 @@ def coded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return offsets, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
 
 
+def distinct(offsets: np.ndarray, codes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with each word of a text once, so that a word said over and over weighs no more than another."""
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    pair = np.unique(row * max(1, words) + codes)
+    return np.searchsorted(pair, np.arange(len(offsets)) * max(1, words)), pair % max(1, words)
+
+
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers of all words' n-grams, and each word's offsets into them; every word has one at least."""
     bare = [f"<{w.strip('.,;:!?\"()[]')}>" for w in words]
@@ -78,6 +85,7 @@ class Model:
 
     def score(self, texts: pa.Array, known: Cache | None = None) -> np.ndarray:
         offsets, codes, words = coded_words(texts)
+        offsets, codes = distinct(offsets, codes, len(words))
         known = Cache() if known is None else known
         known.room()
         fresh = [w for w in words if w not in known]
@@ -89,8 +97,8 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(logit, -40, 40)))
 
 
-def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, steps: int = 50, rate: float = 0.1, decay: float = 3e-4, seed: int = 1) -> Model:
-    """Full-batch Adam on embeddings and softmax weights together.
+def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, steps: int = 150, rate: float = 0.1, shrink: float = 1e-2, decay: float = 3e-4, seed: int = 1) -> Model:
+    """Full-batch Adam on embeddings and softmax weights together, with a group penalty on embeddings.
 
     ``prior``: the share of label 1 among all labelled rows.  The bias is
     moved from the sample's share to it.
@@ -100,11 +108,9 @@ def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, st
     if not 0 < y.mean() < 1 if len(y) else True:
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(base / (1 - base))))
     offsets, codes, words = coded_words(pa.array(texts, pa.large_string()))
-    # Each (document, word) once, weighted by its share of the document.
+    offsets, word = distinct(offsets, codes, len(words))
     doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    pair, count = np.unique(doc * len(words) + codes, return_counts=True)
-    doc, word = pair // max(1, len(words)), pair % max(1, len(words))
-    weight = count / np.maximum(np.diff(offsets), 1)[doc]
+    weight = 1 / np.maximum(np.diff(offsets), 1)[doc]
     # What few documents hold teaches nothing about others; its weight in the mean stays, its value is 0.
     often = np.bincount(word, minlength=len(words)) >= (least if len(texts) >= 1000 else 2)
     number = np.cumsum(often) - 1
@@ -129,6 +135,9 @@ def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, st
         mw, vw = 0.9 * mw + 0.1 * gw, 0.999 * vw + 0.001 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         e -= lr * 0.1 * me / (np.sqrt(ve) + 1e-8)
+        # A vector that its gradient doesn't hold up falls to 0, as a group: common n-grams must not add noise.
+        size = np.sqrt((e * e).sum(axis=1, keepdims=True))
+        e *= np.maximum(0.0, 1.0 - shrink / np.maximum(size, 1e-12))
         w -= lr * mw / (np.sqrt(vw) + 1e-8)
         b -= lr * mb / (np.sqrt(vb) + 1e-8)
     shift = np.log(base / (1 - base)) - np.log(y.mean() / (1 - y.mean()))
