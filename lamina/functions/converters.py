@@ -71,7 +71,7 @@ def uuid_text(c: Column, name: str = "uuid") -> Column:
     h = F.lower(F.hex(c))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     text = F.concat(parts[0], *[x for p in parts[1:] for x in (F.lit("-"), p)])
-    return F.when(F.octet_length(c) == 16, text).when(c.isNotNull(), F.raise_error(f"UUID column `{name}` has a value that isn't 16 bytes long.").cast("string"))
+    return F.when(F.octet_length(c) == 16, text).when(c.isNotNull(), F.raise_error(f"{name}: a UUID isn't 16 bytes long").cast("string"))
 
 
 def float16(c: Column, name: str = "float16") -> Column:
@@ -82,13 +82,13 @@ def float16(c: Column, name: str = "float16") -> Column:
     exponent, mantissa = F.shiftright(bits, 10).bitwiseAND(31), bits.bitwiseAND(1023)
     number = F.when(exponent == 0, mantissa * F.lit(2.0**-24)).otherwise((mantissa + 1024) * F.pow(F.lit(2.0), exponent - 25))
     special = F.when(mantissa == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))
-    return F.when(F.octet_length(c) == 2, sign * F.when(exponent == 31, special).otherwise(number)).when(c.isNotNull(), F.raise_error(f"FLOAT16 column `{name}` has a value that isn't 2 bytes long.").cast("double"))
+    return F.when(F.octet_length(c) == 2, sign * F.when(exponent == 31, special).otherwise(number)).when(c.isNotNull(), F.raise_error(f"{name}: a half-precision number isn't 2 bytes long").cast("double"))
 
 
 def time_of_day(c: Column, unit: str, mode: str, name: str = "time") -> Column:
     """Seconds since midnight, or a TIME (to the microsecond); a value outside one day is an error."""
     per = PER_SECOND[unit]
-    wrong = F.raise_error(f"TIME column `{name}` contains a value outside the range of one day.")
+    wrong = F.raise_error(f"{name}: a time of day is not within one day")
     inside = (c >= 0) & (c < F.lit(86_400 * per))
     if mode == "hms":
         whole = c.cast("long")
@@ -115,7 +115,7 @@ def decimal_double(c: Column) -> Column:
 
 def text(c: Column, name: str, row: Column | None = None) -> Column:
     """The text, or an error that names column and row if its bytes aren't UTF-8 or hold a NUL."""
-    where = F.concat(F.lit(f"Column `{name}` holds invalid UTF-8 or an embedded NUL at row "), (row + 1).cast("string") if row is not None else F.lit("?"))
+    where = F.concat(F.lit(f"{name}: invalid UTF-8 or a NUL byte in row "), (row + 1).cast("string") if row is not None else F.lit("?"))
     return F.when(F.is_valid_utf8(c) & ~F.contains(c, F.lit("\0")), c).when(c.isNotNull(), F.raise_error(where).cast("string"))
 
 

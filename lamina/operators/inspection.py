@@ -159,7 +159,7 @@ def bloom_filter_may_contain(f: ParquetFile, column: str, values: Sequence, row_
     (number,) = f.groups([row_group])
     leaf = next((x for x in f.footer.leaves if x.path == column), None)
     if leaf is None:
-        raise ValueError(f"Unknown column `{column}`.")
+        raise ValueError(f"the file has no column `{column}`")
     plain = [None if v is None else reduced(v, leaf) for v in values]
     with opened(f.spark, f.path) as reader:
         chunk = reader.getFooter().getBlocks()[number - 1].getColumns()[leaf.column - 1]
@@ -179,13 +179,13 @@ def validate_parquet(spark: SparkSession, path: str) -> bool:
     at = jvm.org.apache.hadoop.fs.Path(path)
     fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(at):
-        raise ValueError(f"`file` does not exist: {path}")
+        raise ValueError(f"no file at {path}")
     status = fs.getFileStatus(at)
     if status.isDirectory():
-        raise ValueError(f"`file` is a directory, not a Parquet file: {path}")
+        raise ValueError(f"{path} is a directory")
     size = status.getLen()
     if size < 12:
-        raise ValueError(f"`file` is too small to be a Parquet file: {size} bytes")
+        raise ValueError(f"{path}: {size} bytes are too few for a Parquet file")
     stream = fs.open(at)
     try:
         head = bytes(stream.read() & 255 for _ in range(4))
@@ -194,17 +194,17 @@ def validate_parquet(spark: SparkSession, path: str) -> bool:
     finally:
         stream.close()
     if b"PARE" in (head, tail):
-        raise ValueError("`file` has an encrypted footer, which cannot be read.")
+        raise ValueError("the footer is encrypted")
     if head != b"PAR1":
-        raise ValueError("`file` does not start with the Parquet marker 'PAR1', so it is not a Parquet file.")
+        raise ValueError("no marker at the start: not a Parquet file")
     if tail != b"PAR1":
-        raise ValueError("`file` does not end with the Parquet marker 'PAR1'. It is truncated, or was still being written.")
+        raise ValueError("no marker at the end: cut off, or not written out yet")
     try:
         f = ParquetFile(spark, path)
         with opened(spark, path) as reader:
             declared = reader.getRecordCount()
     except Exception as e:
-        raise ValueError(f"`file` has both Parquet markers but its footer does not parse: {str(e).splitlines()[0]}") from e
+        raise ValueError(f"both markers are there, but the footer can't be parsed: {str(e).splitlines()[0]}") from e
     if f.footer.row_groups and f.footer.rows != declared:
-        raise ValueError(f"`file` declares {declared} rows but its row groups hold {f.footer.rows}.")
+        raise ValueError(f"the footer counts {declared} rows, its row groups {f.footer.rows}")
     return True

@@ -36,19 +36,19 @@ def _declared(name: str, spec) -> WriteField:
     if isinstance(spec, str):
         spec = {"type": spec}
     if not isinstance(spec, dict) or not isinstance(spec.get("type"), str):
-        raise SchemaError(f"Schema entry `{name}` must be a type string or a dict with a type.")
+        raise SchemaError(f"{name}: expected a type, or a dict that has one")
     if unknown := [k for k in spec if k not in PARAMETERS]:
-        raise SchemaError(f"Unknown parameter in schema entry `{name}`: {', '.join(unknown)}.")
+        raise SchemaError(f"{name}: no such parameter: {', '.join(unknown)}")
     kind, repetition = spec["type"].upper(), str(spec.get("repetition_type") or "AUTO").upper()
     if repetition not in ("AUTO", "REQUIRED", "OPTIONAL"):
-        raise SchemaError(f'`repetition_type` for `{name}` must be "AUTO", "REQUIRED", or "OPTIONAL".')
+        raise SchemaError(f"{name}: repetition_type is AUTO, REQUIRED or OPTIONAL, not {repetition}")
     extra = {k for k in spec if k not in ("type", "repetition_type")}
     takes = {"TIMESTAMP": {"unit", "is_adjusted_utc"}, "GEOMETRY": {"crs"}, "GEOGRAPHY": {"crs", "algorithm"}}
     known = {*SCALARS, "BINARY", "GEOMETRY", "GEOGRAPHY", "STRING", "DATE", "TIMESTAMP"}
     if kind not in known:
-        raise SchemaError(f"Unsupported schema type `{kind}` for column `{name}`.")
+        raise SchemaError(f"{name}: no type is called {kind}")
     if wrong := sorted(extra - takes.get(kind, set())):
-        raise SchemaError(f"Schema type `{kind}` does not accept {', '.join(f'`{w}`' for w in wrong)}.")
+        raise SchemaError(f"{name}: {kind} has no parameter {', '.join(wrong)}")
     if kind in SCALARS:
         return WriteField(name, kind, repetition_type=repetition)
     if kind == "STRING":
@@ -60,21 +60,21 @@ def _declared(name: str, spec) -> WriteField:
     if kind == "TIMESTAMP":
         unit = str(spec.get("unit") or "MICROS").upper()
         if unit not in UNITS:
-            raise SchemaError(f"`unit` for `{name}` must be MILLIS, MICROS, or NANOS.")
+            raise SchemaError(f"{name}: unit is one of {', '.join(UNITS)}, not {unit}")
         adjusted = spec.get("is_adjusted_utc", True)
         if not isinstance(adjusted, bool):
-            raise SchemaError(f"`is_adjusted_utc` for `{name}` must be TRUE or FALSE.")
+            raise SchemaError(f"{name}: is_adjusted_utc is True or False, not {adjusted!r}")
         if not adjusted:
-            raise SchemaError("Only UTC-adjusted TIMESTAMP output is supported.")
+            raise SchemaError(f"{name}: timestamps are written as instants; a wall clock can't be declared")
         return WriteField(name, "INT64", "TIMESTAMP", f"unit={unit}, adjusted_to_utc=true", repetition)
     crs = spec.get("crs") or "OGC:CRS84"
     if not isinstance(crs, str) or len(crs.encode()) > 127:
-        raise SchemaError(f"`crs` for `{name}` must be text of at most 127 bytes.")
+        raise SchemaError(f"{name}: crs is text of 127 bytes at most")
     details = f"crs={crs}"
     if kind == "GEOGRAPHY":
         algorithm = str(spec.get("algorithm") or "SPHERICAL").upper()
         if algorithm not in ALGORITHMS:
-            raise SchemaError(f"`algorithm` for `{name}` must be one of {', '.join(ALGORITHMS)}.")
+            raise SchemaError(f"{name}: algorithm is one of {', '.join(ALGORITHMS)}")
         details += f", algorithm={algorithm}"
     return WriteField(name, "BYTE_ARRAY", kind, details, repetition)
 
@@ -83,9 +83,9 @@ def parquet_schema(columns: dict[str, object] | None = None, **more) -> list[Wri
     """A declaration from ``name=type`` or ``name={"type": ..., ...}`` entries; types in any case."""
     entries = [*(columns or {}).items(), *more.items()]
     if any(not n for n, _ in entries):
-        raise SchemaError("Schema column names must be non-missing.")
+        raise SchemaError("a declared column has no name")
     if twice := [n for n, c in Counter(n for n, _ in entries).items() if c > 1]:
-        raise SchemaError(f"Schema column names must be unique: {', '.join(twice)}.")
+        raise SchemaError(f"declared twice: {', '.join(twice)}")
     return [_declared(n, s) for n, s in entries]
 
 
@@ -109,14 +109,14 @@ def natural(name: str, kind: T.DataType) -> WriteField:
         return WriteField(name, "INT64", "TIMESTAMP", "unit=MICROS, adjusted_to_utc=true")
     if isinstance(kind, T.BinaryType):
         return WriteField(name, "BYTE_ARRAY")
-    raise SchemaError(f"Column `{name}` has unsupported type `{kind.simpleString()}`.")
+    raise SchemaError(f"{name}: {kind.simpleString()} is an unsupported type; only flat columns are written")
 
 
 def checked_names(df: DataFrame) -> None:
     if not df.columns:
-        raise SchemaError("`x` has no columns.")
+        raise SchemaError("there are no columns to write")
     if twice := [n for n, c in Counter(df.columns).items() if c > 1]:
-        raise SchemaError(f"`x` must have unique column names. Duplicated: {', '.join(f'`{t}`' for t in twice)}.")
+        raise SchemaError(f"column names are not unique: {', '.join(twice)}")
 
 
 def column(name: str):
@@ -128,7 +128,7 @@ def merged(df: DataFrame, declared: list[WriteField] | None) -> list[WriteField]
     checked_names(df)
     named = {w.name: w for w in declared or []}
     if missing := [n for n in named if n not in df.columns]:
-        raise SchemaError(f"Schema refers to missing column(s): {', '.join(missing)}.")
+        raise SchemaError(f"declared, but a missing column: {', '.join(missing)}")
     out = []
     for f in df.schema.fields:
         own = named.get(f.name)
@@ -147,34 +147,34 @@ def problems(w: WriteField, kind: T.DataType) -> dict[str, F.Column]:
         if isinstance(kind, T.DateType):
             return {}
         if not number:
-            raise SchemaError(f"DATE column `{w.name}` must be a date or numeric.")
+            raise SchemaError(f"{w.name}: DATE takes a date or whole days")
         return _integral(w.name, "DATE", c, kind, INT32_MOST, -INT32_MOST - 1)
     if w.logical_type == "TIMESTAMP":
         if not isinstance(kind, T.TimestampType | T.TimestampNTZType):
-            raise SchemaError(f"TIMESTAMP column `{w.name}` must be a timestamp.")
+            raise SchemaError(f"{w.name}: TIMESTAMP takes a timestamp, not {kind.simpleString()}")
         return {}
     if w.physical_type == "BOOLEAN" and not isinstance(kind, T.BooleanType):
-        raise SchemaError(f"BOOLEAN column `{w.name}` must be boolean.")
+        raise SchemaError(f"{w.name}: BOOLEAN takes a boolean, not {kind.simpleString()}")
     if w.physical_type in ("INT32", "INT64", "FLOAT", "DOUBLE") and not number:
-        raise SchemaError(f"{w.physical_type} column `{w.name}` must be numeric.")
+        raise SchemaError(f"{w.name}: {w.physical_type} takes a numeric column, not {kind.simpleString()}")
     if w.physical_type == "INT32":
         return _integral(w.name, "INT32", c, kind, INT32_MOST)
     if w.physical_type == "INT64" and not isinstance(kind, T.IntegralType):
         return _integral(w.name, "INT64", c, kind, INT64_MOST)
     if w.physical_type == "BYTE_ARRAY":
         if w.logical_type == "STRING" and not isinstance(kind, T.StringType):
-            raise SchemaError(f"STRING column `{w.name}` must be text.")
+            raise SchemaError(f"{w.name}: STRING takes text, not {kind.simpleString()}")
         if w.logical_type != "STRING" and not isinstance(kind, T.BinaryType):
-            raise SchemaError(f"{says if w.logical_type else 'BINARY'} column `{w.name}` must be binary.")
+            raise SchemaError(f"{w.name}: {says if w.logical_type else 'BINARY'} takes binary values, not {kind.simpleString()}")
         if w.logical_type == "STRING":
-            return {f"STRING column `{w.name}` contains text that is not valid UTF-8.": ~F.is_valid_utf8(c)}
+            return {f"{w.name}: a text isn't valid UTF-8": ~F.is_valid_utf8(c)}
     return {}
 
 
 def _integral(name: str, says: str, c: F.Column, kind: T.DataType, most: int, least: int | None = None) -> dict[str, F.Column]:
-    out = {f"{says} column `{name}` holds a value outside its range.": ~c.between(F.lit(-most if least is None else least), F.lit(most))}
+    out = {f"{name}: a value is out of the range of {says}": ~c.between(F.lit(-most if least is None else least), F.lit(most))}
     if isinstance(kind, T.FloatType | T.DoubleType):
-        out = {f"{says} column `{name}` cannot contain NaN.": F.isnan(c), f"{says} column `{name}` holds a value that is not whole.": c != F.floor(c)} | out
+        out = {f"{name}: {says} has no NaN": F.isnan(c), f"{name}: {says} takes whole numbers": c != F.floor(c)} | out
     return out
 
 
@@ -198,7 +198,7 @@ def resolve(df: DataFrame, declared: list[WriteField] | None = None) -> list[Wri
     out = []
     for w in fields:
         if w.repetition_type == "REQUIRED" and w.name in missing:
-            raise SchemaError(f"Required column `{w.name}` contains missing values.")
+            raise SchemaError(f"{w.name}: declared REQUIRED, but it has nulls")
         out.append(replace(w, repetition_type=w.repetition_type if w.repetition_type != "AUTO" else "OPTIONAL" if w.name in missing else "REQUIRED"))
     return out
 

@@ -35,7 +35,7 @@ class ParquetFile:
 
     def __init__(self, spark: SparkSession, path: str, checksums: bool = True):
         if not isinstance(path, str) or not path:
-            raise ValueError("`path` must be a single file path.")
+            raise ValueError("expected a file's path")
         self.spark, self.asked, self.checksums, self.closed = spark, path, checksums, False
         if DOWNLOADED.match(path):
             log.info("downloading %s", path)
@@ -82,14 +82,14 @@ class ParquetFile:
             if isinstance(columns, str):
                 columns = [columns]
             if any(c is None for c in columns):
-                raise ValueError("`columns` must not hold missing names.")
+                raise ValueError("columns: a name is missing")
             for c, n in Counter(columns).items():
                 if n > 1:
-                    raise ValueError(f"`columns` names {quoted(c)} more than once.")
+                    raise ValueError(f"columns: {quoted(c)} comes more than once")
                 if paths.count(c) > 1:
-                    raise ValueError(f"{quoted(c)} is ambiguous: {paths.count(c)} columns have this path.")
+                    raise ValueError(f"columns: {quoted(c)} is ambiguous; {paths.count(c)} leaves have this path")
                 if c not in paths:
-                    raise ValueError(f"Unknown column {quoted(c)}.")
+                    raise ValueError(f"columns: the file has no {quoted(c)}")
             chosen = [plan[paths.index(c)] for c in columns]
         left = [r for r in chosen if r.nested]
         if left:
@@ -103,9 +103,9 @@ class ParquetFile:
         n = len(self.footer.row_groups)
         wanted = [row_groups] if isinstance(row_groups, int) else list(row_groups)
         if any(not isinstance(g, int) or isinstance(g, bool) for g in wanted) or len(set(wanted)) < len(wanted):
-            raise ValueError("`row_groups` must be distinct whole numbers.")
+            raise ValueError("row_groups: expected distinct whole numbers")
         if any(not 1 <= g <= n for g in wanted):
-            raise ValueError(f"`row_groups` must lie between 1 and {n}.")
+            raise ValueError(f"row_groups: the file has groups 1 to {n}")
         return sorted(wanted)
 
     def raw(self, rows: list[PlanRow], row_groups: Sequence[int] | None = None, keep: Sequence = ()) -> DataFrame:
@@ -185,7 +185,7 @@ class ParquetFile:
     def batches(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, batch_size: int = 65_536, **options) -> Iterator[pa.Table]:
         """Batches of at most ``batch_size`` rows in file order, none across row groups; memory holds one row group."""
         if not isinstance(batch_size, int) or batch_size < 1:
-            raise ValueError("`batch_size` must be a positive whole number.")
+            raise ValueError("batch_size: expected a whole number of rows")
         wanted = self.groups(row_groups)
         for g in self.footer.row_groups:
             if wanted is None or g.row_group in wanted:
@@ -208,7 +208,7 @@ class ParquetFile:
         group.  Numbers come from the row index by arithmetic, without a shuffle.
         """
         if not isinstance(batch_size, int) or batch_size < 1:
-            raise ValueError("`batch_size` must be a positive whole number.")
+            raise ValueError("batch_size: expected a whole number of rows")
         wanted = self.groups(row_groups)
         rows = self.selected(columns, self.plan(ReadOptions(**options)))
         leaves = self.footer.leaves
@@ -242,5 +242,5 @@ def read_plan(spark: SparkSession, x, *, int64: str = "double", time: str = "num
     if isinstance(x, ParquetFile):
         x = x.footer.leaves
     if not isinstance(x, list | tuple):
-        raise TypeError("`x` must be a Parquet file path, an open file, or leaves.")
+        raise TypeError("expected a path, an open file, or leaves")
     return plan_frame(spark, build_plan(x, options))

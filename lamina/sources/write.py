@@ -31,7 +31,7 @@ def checked_metadata(metadata) -> list[tuple[str, str | None]]:
     pairs = list(metadata.items()) if isinstance(metadata, dict) else [tuple(p) for p in metadata]
     for p in pairs:
         if len(p) != 2 or not isinstance(p[0], str) or not p[0] or not (p[1] is None or isinstance(p[1], str)):
-            raise ValueError("`metadata` must map non-empty names to text.")
+            raise ValueError("metadata: expected texts (or None) by non-empty names")
     return pairs
 
 
@@ -45,13 +45,13 @@ def checked_sort(sorted_by, columns: Sequence[str]) -> list[dict]:
         e = {"name": e} if isinstance(e, str) else dict(e)
         key = {"name": e.pop("name", None), "descending": e.pop("descending", False), "nulls_first": e.pop("nulls_first", False)}
         if e or not isinstance(key["name"], str):
-            raise ValueError("`sorted_by` takes column names, or name, descending and nulls_first.")
+            raise ValueError("sorted_by: a key has name, descending and nulls_first")
         if not isinstance(key["descending"], bool) or not isinstance(key["nulls_first"], bool):
-            raise ValueError("`descending` and `nulls_first` must be logical.")
+            raise ValueError("sorted_by: descending and nulls_first are True or False")
         if key["name"] not in columns:
-            raise ValueError(f"`sorted_by` names a column that is not being written: {key['name']}")
+            raise ValueError(f"sorted_by: there is no column {key['name']}")
         if key["name"] in [k["name"] for k in out]:
-            raise ValueError("`sorted_by` names the same column more than once.")
+            raise ValueError(f"sorted_by: {key['name']} comes more than once")
         out.append(key)
     return out
 
@@ -64,7 +64,7 @@ def checked_rows(row_group_size) -> int | None:
     if row_group_size is None:
         return None
     if isinstance(row_group_size, bool) or not isinstance(row_group_size, int | float) or row_group_size != row_group_size or row_group_size in (float("inf"),) or row_group_size < 1 or row_group_size != int(row_group_size):
-        raise ValueError("`row_group_size` must be a single positive whole number, or None.")
+        raise ValueError("row_group_size: expected a whole number of rows, or None")
     return int(row_group_size)
 
 
@@ -79,7 +79,7 @@ def cast(df: DataFrame, fields: list[WriteField], notes: dict) -> DataFrame:
             c = c.cast(kind)
         if w.repetition_type == "REQUIRED" and now.nullable:
             # The last value is never reached; it tells Catalyst that there are no nulls.
-            c = F.coalesce(c, F.raise_error(f"Required column `{w.name}` contains missing values.").cast(kind), F.lit(NEVER[kind.simpleString()]).cast(kind))
+            c = F.coalesce(c, F.raise_error(f"{w.name}: declared REQUIRED, but it has nulls").cast(kind), F.lit(NEVER[kind.simpleString()]).cast(kind))
         elif w.repetition_type == "OPTIONAL" and not now.nullable:
             c = F.try_element_at(F.create_map(F.lit(0), c), F.lit(0))  # may be null, as far as Catalyst can tell
         about = dict(notes) if i == 0 else {}
@@ -154,11 +154,11 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy", schema:
     """
     checked_names(df)
     if not isinstance(path, str) or not path:
-        raise ValueError("`file` must be a single file path.")
+        raise ValueError("expected a file's path")
     if DOWNLOADED.match(path):
-        raise ValueError(f"`file` must be a path; a file can be read from a URL but not written to one: {path}")
+        raise ValueError(f"can't write to a URL: {path}")
     if compression not in CODECS:
-        raise ValueError(f"`compression` must be one of {', '.join(CODECS)}.")
+        raise ValueError(f"compression: one of {', '.join(CODECS)}")
     rows, pairs = checked_rows(row_group_size), checked_metadata(metadata)
     fields = resolve(df, schema)
     unit = _unit(fields)
@@ -166,7 +166,7 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy", schema:
         fields = compatible(df.sparkSession, path, fields)
     keys = checked_sort(sorted_by, df.columns)
     if unknown := [b for b in bloom_filters if b not in df.columns]:
-        raise ValueError(f"`bloom_filters` names a column that is not being written: {', '.join(unknown)}")
+        raise ValueError(f"bloom_filters: there is no column {', '.join(unknown)}")
     about = {k: json.dumps(v) for k, v in ((NOTES, pairs), (SORTED, keys)) if v}
     if append:
         # A file's own notes stay; new ones are added after them.
@@ -183,23 +183,23 @@ def compatible(spark: SparkSession, path: str, fields: list[WriteField]) -> list
     """``fields`` with the file's nullability, or a SchemaError that says how the file differs."""
     fs, at = _hadoop(spark, path)
     if not fs.exists(at):
-        raise SchemaError(f"`append = TRUE` but the file does not exist: {path}")
+        raise SchemaError(f"nothing to append to: no file at {path}")
     leaves = read_footer(spark, path).leaves
     if any(x.path != x.name for x in leaves):
-        raise SchemaError("Cannot append to a file with nested columns.")
+        raise SchemaError("the file has nested columns; only flat files can grow")
     if len(leaves) != len(fields):
-        raise SchemaError(f"Cannot append: the file has {len(leaves)} columns but {len(fields)} are being written.")
+        raise SchemaError(f"the file has {len(leaves)} columns, the new rows {len(fields)}")
     if [x.name for x in leaves] != [w.name for w in fields]:
-        raise SchemaError(f"Cannot append: column names differ, or are in a different order.\n  file:    {', '.join(x.name for x in leaves)}\n  writing: {', '.join(w.name for w in fields)}")
+        raise SchemaError(f"names or their order differ: {[x.name for x in leaves]} in the file, {[w.name for w in fields]} in the new rows")
     for kind in ("physical_type", "logical_type", "logical_details"):
         for x, w in zip(leaves, fields, strict=True):
             if w.logical_type in ("GEOMETRY", "GEOGRAPHY") and kind != "physical_type":
                 continue  # annotated in the Spark schema only
             if getattr(x, kind) != getattr(w, kind):
-                raise SchemaError(f"Cannot append: column `{x.name}` is {kind} {getattr(x, kind)} in the file but {getattr(w, kind)} in the data being written.")
+                raise SchemaError(f"{x.name}: {kind} is {getattr(x, kind)} in the file and {getattr(w, kind)} in the new rows")
     for x, w in zip(leaves, fields, strict=True):
         if x.repetition_type == "REQUIRED" and w.repetition_type == "OPTIONAL":
-            raise SchemaError(f"Cannot append: column `{w.name}` contains missing values but the file declares it REQUIRED.")
+            raise SchemaError(f"{w.name}: REQUIRED in the file, but the new rows have nulls")
     return [replace(w, repetition_type=x.repetition_type) for x, w in zip(leaves, fields, strict=True)]
 
 
@@ -225,7 +225,7 @@ def write_dataset(df: DataFrame, path: str, compression: str = "snappy", schema:
     that row groups' bounds are narrow.
     """
     if compression not in CODECS:
-        raise ValueError(f"`compression` must be one of {', '.join(CODECS)}.")
+        raise ValueError(f"compression: one of {', '.join(CODECS)}")
     rows, fields, keys = checked_rows(row_group_size), resolve(df, schema), checked_sort(sorted_by, df.columns)
     out = cast(df, fields, {SORTED: json.dumps(keys)} if keys else {})
     if keys:

@@ -78,14 +78,14 @@ def test_bloom_dates_and_unsigned():
 def test_validation(spark, tmp_path, sorted_file):
     assert inspection.validate_parquet(spark, sorted_file.path)
     whole = open(sorted_file.path, "rb").read()
-    cases = {"small": (b"PAR1", "too small"), "head": (b"XXXX" + whole[4:], "does not start"), "tail": (whole[:-10], "does not end"), "crypt": (whole[:-4] + b"PARE", "encrypted"), "footer": (whole[:-60] + b"\xff" * 52 + whole[-8:], "footer does not parse")}
+    cases = {"small": (b"PAR1", "too few"), "head": (b"XXXX" + whole[4:], "at the start"), "tail": (whole[:-10], "at the end"), "crypt": (whole[:-4] + b"PARE", "encrypted"), "footer": (whole[:-60] + b"\xff" * 52 + whole[-8:], "can't be parsed")}
     for name, (data, says) in cases.items():
         (tmp_path / name).write_bytes(data)
         with pytest.raises(ValueError, match=says):
             inspection.validate_parquet(spark, str(tmp_path / name))
     with pytest.raises(ValueError, match="directory"):
         inspection.validate_parquet(spark, str(tmp_path))
-    with pytest.raises(ValueError, match="does not exist"):
+    with pytest.raises(ValueError, match="no file"):
         inspection.validate_parquet(spark, str(tmp_path / "missing"))
 
 

@@ -54,7 +54,7 @@ def test_same_by_every_way(multigroup, spark):
     assert [tuple(r.values()) for b in multigroup.batches(batch_size=2) for r in b.to_pylist()] == [tuple(r) for r in whole]
 
 
-@pytest.mark.parametrize(("columns", "says"), [(["nope"], "Unknown"), (["id", "id"], "more than once"), ([None], "missing")])
+@pytest.mark.parametrize(("columns", "says"), [(["nope"], "has no"), (["id", "id"], "more than once"), ([None], "missing")])
 def test_bad_columns(multigroup, columns, says):
     with pytest.raises(ValueError, match=says):
         multigroup.collect(columns)
@@ -132,7 +132,7 @@ def test_time_out_of_day(spark, tmp_path):
     from lamina.functions.converters import time_of_day
 
     for bad in (-1, 86_400_000):
-        with pytest.raises(PySparkException, match="outside the range of one day"):
+        with pytest.raises(PySparkException, match="not within one day"):
             spark.createDataFrame([(bad,)], "x int").select(time_of_day(F.col("x"), "millis", "numeric")).collect()
 
 
@@ -183,7 +183,7 @@ def test_bad_text(spark, tmp_path):
     pq.write_table(pa.table({"t": ["good", "baéd", "fine"]}), path, compression="none", use_dictionary=False, write_statistics=False)
     path.write_bytes(path.read_bytes().replace("aéd".encode(), b"a\xc3ad"))
     f = open_parquet(spark, str(path))
-    with pytest.raises(PySparkException, match="Column `t` holds invalid UTF-8 or an embedded NUL at row 2"):
+    with pytest.raises(PySparkException, match="t: invalid UTF-8 or a NUL byte in row 2"):
         f.collect().collect()
     assert f.collect(validate_text=False).count() == 3
 
