@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 
 from lamina.functions import converters
 from lamina.plans.plan import PlanRow, ReadOptions, build_plan, plan_frame
-from lamina.sources.footer import Footer, read_footer
+from lamina.plans.types import Leaf
+from lamina.sources.footer import Footer, bound, read_footer
 
 log = logging.getLogger("lamina")
 #: Schemes whose files Spark fetches to every node; any Hadoop file system is read in place.
@@ -118,6 +119,9 @@ class ParquetFile:
             if name not in [f.name for f in fields]:
                 row = self.selected([name], build_plan(leaves))[0]
                 fields.append(T.StructField(name, converters.read_type(leaves[row.column - 1]), True))
+        around = self.bounds_of(wanted) if wanted is not None else None
+        if around and around[0].path not in [f.name for f in fields]:
+            fields.append(T.StructField(around[0].path, converters.read_type(around[0]), True))
         df = self.reader([r.path for r in rows]).read.option("parquet.page.verify-checksum.enabled", str(self.checksums).lower()).schema(T.StructType(fields)).parquet(self.path)
         if wanted is not None:
             bounds = [(g.first_row, g.first_row + g.rows) for g in self.footer.row_groups if g.row_group in wanted]
@@ -128,8 +132,32 @@ class ParquetFile:
                 else:
                     merged.append([a, b])
             df = df.where(" OR ".join(f"(_metadata.row_index >= {a} AND _metadata.row_index < {b})" for a, b in merged) or "false")
+            if around:
+                df = df.where(F.col(quoted(around[0].path)).between(*around[1:]))
         return df
 
+    def bounds_of(self, wanted: list[int]) -> tuple[Leaf, int, int] | None:
+        """A column and a range that holds for every row of the wanted groups, and for few other groups.
+
+        A filter on the row index skips no data.  One on a column's values does,
+        by the groups' statistics; it changes no result, as it is true of all
+        wanted rows.  Only whole numbers without nulls in these groups serve.
+        """
+        best, others = None, len(self.footer.row_groups) - len(wanted)
+        for leaf in self.footer.leaves:
+            if leaf.nested or self.names.count(leaf.path) > 1 or leaf.logical_type or leaf.physical_type not in ("INT32", "INT64"):
+                continue
+            own = [c for c in self.footer.chunks if c.column == leaf.column]
+            spans = {c.row_group: (bound(c.min, leaf)[1], bound(c.max, leaf)[1], c.null_count) for c in own}
+            inside = [spans[g] for g in wanted]
+            if not inside or any(lo is None or hi is None or nulls != 0 for lo, hi, nulls in inside):
+                continue
+            low, high = min(lo for lo, _, _ in inside), max(hi for _, hi, _ in inside)
+            kept = sum(lo is None or hi is None or (lo <= high and hi >= low) for g, (lo, hi, _) in spans.items() if g not in wanted)
+            if kept < others and (best is None or kept < best[0]):
+                best = (kept, leaf, low, high)
+        return best[1:] if best else None
+
     def reader(self, paths: list[str]) -> SparkSession:
         """The session to read with.
 

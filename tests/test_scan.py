@@ -86,6 +86,26 @@ def test_filter_reaches_the_reader(multigroup):
     assert "GreaterThan(count,10000000010)" in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_row_groups_skip_data(spark, tmp_path):
+    path = str(tmp_path / "sorted.parquet")
+    n = 8000
+    pq.write_table(pa.table({"key": pa.array(range(n), pa.int64()), "odd": pa.array([i % 7 if i % 11 else None for i in range(n)], pa.int32()), "text": [f"t{i}" for i in range(n)]}), path, row_group_size=1000)
+    f = open_parquet(spark, path)
+    leaf, low, high = f.bounds_of([3, 4])
+    assert (leaf.path, low, high) == ("key", 2000, 3999)
+    df = f.collect(["text"], row_groups=[4, 3])
+    assert [r.text for r in df.collect()] == [f"t{i}" for i in range(2000, 4000)]
+    plan = f.collect(["text"], row_groups=[4, 3])._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    assert plan.collectLeaves().head().metrics().get("numOutputRows").get().value() == 2000  # of 8,000
+    assert f.bounds_of(list(range(1, 9))) is None and f.bounds_of([]) is None
+    unsorted = str(tmp_path / "unsorted.parquet")
+    pq.write_table(pa.table({"key": [1, 9, 1, 9], "null": [1, None, 5, 6]}), unsorted, row_group_size=2)
+    g = open_parquet(spark, unsorted)
+    assert g.bounds_of([1]) is None and [r.key for r in g.collect(["key"], row_groups=[2]).collect()] == [1.0, 9.0]
+    assert g.bounds_of([2])[0].path == "null" and [r.key for r in g.collect(["key"], row_groups=[2]).collect()] == [1.0, 9.0]
+
+
 def one(spark, tmp_path, array, name="x.parquet", **more):
     path = str(tmp_path / name)
     pq.write_table(pa.table({"x": array}), path)
