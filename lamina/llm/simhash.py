@@ -201,21 +201,21 @@ def links(distinct: DataFrame, leaf_size: int = 16_384, sample_per_leaf: int = 6
     return placed.repartition(shuffle_width(spark), "leaf").groupBy("leaf").applyInArrow(joined, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp, component_id, root`` for each document.
+def near_duplicates(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp, component_id, root`` and the columns ``carry`` for each document.
 
     component_id is the smallest doc_id that links lead to, root the smallest
     fingerprint (as a signed number).  Documents without
     words have fingerprint 0 and link like others.  Rows with null doc_id keep
     it, and take part; a component of only such rows has a null id.
     """
-    own = stage(with_fingerprint(docs, ["doc_id"]), "fingerprints")
+    own = stage(with_fingerprint(docs, ["doc_id", *carry]), "fingerprints")
     least = stage(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = connected(links(least)).select(F.col("node").alias("fp"), "root")
     placed = least.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = stage(placed, "roots")
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return own.join(placed.select("fp", "root").join(smallest, "root"), "fp", "left").select("doc_id", "fp", "component_id", "root")
+    return own.join(placed.select("fp", "root").join(smallest, "root"), "fp", "left").select("doc_id", "fp", "component_id", "root", *carry)
 
 
 def hexadecimal(fp) -> F.Column:
