@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamina.llm import bpe, decontaminate, pii, simhash, toxicity
@@ -21,20 +21,19 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each SimHash component the row with its smallest doc_id; of several such rows the first by text.
+    """Keeps of each SimHash component the row with its smallest doc_id; of several such rows one, by a hash of the text.
 
-    Without a doc_id in the component, the first by text stays.
+    Rows without a doc_id come after all others.  Decisions travel as ids and
+    hashes; the texts are shuffled once, to the decisions.
     """
-    own = docs.select(*COLUMNS)
-    found = stage(simhash.near_duplicates(own), "components")
-    ids = stage(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("least")), "ids")
-    single = own.join(ids.where("n = 1 AND least").select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
-    # Rows that share a doc_id (or lack one) are few in a sound corpus; these are told apart by fingerprint and text.
-    shared = ids.where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("id"))
-    several = simhash.with_fingerprint(own.join(shared, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"), COLUMNS)
-    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id"), F.col("fp").alias("id_fp"), "root").distinct()
-    first = several.join(heads, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("fp") == F.col("id_fp"))).groupBy("root").agg(F.min(F.struct("text", *[c for c in COLUMNS if c != "text"])).alias("row"))
-    return single.unionAll(first.select(*[F.col(f"row.{c}").alias(c) for c in COLUMNS]))
+    own = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    found = simhash.near_duplicates(own, ("row_key",))
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")).alias("head")
+    kept = stage(found.groupBy("root").agg(head).select(F.col("head.doc_id").alias("id"), F.col("head.row_key").alias("row_key")), "kept")
+    rows = own.join(kept, "row_key").where(F.col("doc_id").eqNullSafe(F.col("id")))
+    # Equal rows share a key, which is what the join has partitioned by.
+    copy = F.row_number().over(Window.partitionBy("row_key").orderBy("lang", "source", "n_chars"))
+    return rows.withColumn("copy", copy).where("copy = 1").select(*COLUMNS)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
