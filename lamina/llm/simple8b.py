@@ -130,7 +130,7 @@ class WordEncoder:
     after the other, and a run of letters ends at what is no letter.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -142,6 +142,8 @@ class WordEncoder:
     @staticmethod
     def parts(piece: str) -> list[str]:
         if piece.isascii():
+            if piece.islower() and piece.isalpha():
+                return [piece]
             found = WORD.fullmatch(low := piece.lower())
             return [x for x in found.groups() if x] if found else [low]
         word = piece.rstrip(".,;:!?")
@@ -154,7 +156,8 @@ class WordEncoder:
         self.known.room()
         known = self.known
         offsets, codes, pieces = split_coded(texts)
-        parts = [self.parts(p) for p in pieces]
+        new = [p for p in pieces if p not in known]
+        parts = [self.parts(p) for p in new]
         fresh = list({p for x in parts for p in x if p not in known})
         # A word of letters gives one run of tokens, which only its last token ends; so many words can share a call.
         words = [p for p in fresh if p.isalpha() and p.lower().isalpha()]
@@ -167,7 +170,10 @@ class WordEncoder:
         others = [p for p in fresh if p not in known]
         for p, e in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False), strict=True):
             known[p] = np.array(e.ids, dtype=np.uint32).tobytes()
-        runs = [b"".join([known[p] for p in x]) for x in parts]
+        for p, x in zip(new, parts, strict=True):
+            if len(x) > 1 or x[0] != p:
+                known[p] = b"".join([known[y] for y in x])
+        runs = [known[p] for p in pieces]
         starts = np.concatenate([[0], np.cumsum([len(r) // 4 for r in runs])])
         ids, ends = gather(codes, np.frombuffer(b"".join(runs), dtype=np.uint32), starts)
         return ids, ends[offsets]
@@ -198,14 +204,17 @@ def write_token_blocks(docs: DataFrame, path: str, end_id: int = 1, block_ids: i
     cuts = docs.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 10 * max(1000, shards)).alias("q")).first()["q"] if shards > 1 else []
     cuts = np.array(sorted(set(cuts or [])), dtype=np.int64)
 
+    width = np.uint16 if len(encoder(path).last) <= 1 << 16 else np.uint32  # what a vocabulary's ids need on their way
+
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
             texts = texts_of(batch)
-            for lo, hi in text_slices(texts):
+            for lo, hi in text_slices(texts, 16 << 20):
                 ids, at = enc.encode(texts.slice(lo, hi - lo))
                 name = batch.column(0).slice(lo, hi - lo)
                 shard = np.searchsorted(cuts, np.array([-(1 << 63) if x is None else x for x in name.to_pylist()], dtype=np.int64), side="left")
+                ids = ids.astype(width)
                 runs = [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), name, pa.array(runs, pa.binary())], names=["shard", "doc_id", "ids"])
 
@@ -221,7 +230,7 @@ def write_token_blocks(docs: DataFrame, path: str, end_id: int = 1, block_ids: i
 
         for batch in batches:
             for s, d, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                own = np.append(np.frombuffer(raw, np.uint32), np.uint32(end_id)).astype(np.uint64)
+                own = np.append(np.frombuffer(raw, width).astype(np.uint64), np.uint64(end_id))
                 if held and (s != shard or n + len(own) > block_ids):
                     yield block()
                     first, number, n, names, held = first + n, number + 1, 0, [], []
