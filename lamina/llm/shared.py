@@ -85,5 +85,6 @@ def gather(codes: np.ndarray, flat: np.ndarray, starts: np.ndarray) -> tuple[np.
     """
     counts = np.diff(starts)[codes]
     ends = np.concatenate([[0], np.cumsum(counts)])
-    index = np.arange(ends[-1]) + np.repeat(starts[:-1][codes] - ends[:-1], counts)
+    kind = np.int32 if max(ends[-1], starts[-1]) < 1 << 31 else np.int64  # half the memory traffic, where it fits
+    index = np.arange(ends[-1], dtype=kind) + np.repeat((starts[:-1][codes] - ends[:-1]).astype(kind), counts)
     return flat[index], ends

@@ -130,7 +130,7 @@ class WordEncoder:
     after the other, and a run of letters ends at what is no letter.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -156,7 +156,9 @@ class WordEncoder:
         self.known.room()
         known = self.known
         offsets, codes, pieces = split_coded(texts)
-        new = [p for p in pieces if p not in known]
+        runs = list(map(known.get, pieces))
+        gaps = [i for i, r in enumerate(runs) if r is None]
+        new = [pieces[i] for i in gaps]
         parts = [self.parts(p) for p in new]
         fresh = list({p for x in parts for p in x if p not in known})
         # A word of letters gives one run of tokens, which only its last token ends; so many words can share a call.
@@ -173,8 +175,9 @@ class WordEncoder:
         for p, x in zip(new, parts, strict=True):
             if len(x) > 1 or x[0] != p:
                 known[p] = b"".join([known[y] for y in x])
-        runs = [known[p] for p in pieces]
-        starts = np.concatenate([[0], np.cumsum([len(r) // 4 for r in runs])])
+        for i, p in zip(gaps, new, strict=True):
+            runs[i] = known[p]
+        starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, runs), np.int64, len(runs)) // 4)])
         ids, ends = gather(codes, np.frombuffer(b"".join(runs), dtype=np.uint32), starts)
         return ids, ends[offsets]
 
