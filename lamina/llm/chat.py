@@ -13,7 +13,8 @@ The template writes a turn as
 and escapes what could be mistaken for its own or other templates' control
 strings inside a role or a text: a backslash is doubled, and each control
 string gets a backslash after its first character.  Undoing it takes off one
-backslash of each pair or single one.
+backslash of each pair or single one.  A line break inside a role reads back as
+the end of the role, the rest as the text's beginning; no character is lost.
 """
 
 from __future__ import annotations
