@@ -6,8 +6,9 @@ item's score for its own text, so an item's threshold is the same share for all.
 A passage whose terms' upper bounds sum below it is skipped; then blocks of
 items whose block maxima sum below it are skipped; only what remains is scored.
 The bounds are never too low, so that exactly the pairs at or above the
-threshold come out.  Each such pair is verified: how much of the item's question
-and of its answer, as five-word shingles, stands in the text.
+threshold come out.  Each such pair is verified: how much of the item, as
+five-word shingles, stands in the text.  How much of its question and of its
+answer does is reported beside it.
 """
 
 from __future__ import annotations
@@ -159,8 +160,8 @@ def leaks_in(index: Index, texts: pa.Array, known: Cache) -> list[tuple[int, int
         part = [len(x & shown) / len(x) if x else 1.0 for x in (whole, question, answer)]
         if len(next(iter(whole))) < SHINGLE:  # shorter than a shingle: as a run of words
             part = [float(f" {' '.join(next(iter(whole)))} " in f" {' '.join(words_of(texts[r].as_py()))} ")] * 3
-        # Each part separately: edits near the seam of a short part cost it more shingles.
-        if part[0] >= OVERLAP and min(part[1:]) >= 0.5:
+        # The whole item decides; a short part may be one shingle, which any edit takes, so parts are evidence only.
+        if part[0] >= OVERLAP:
             out.append((r, item, score, part[1], part[2]))
     return out
 

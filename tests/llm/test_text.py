@@ -136,6 +136,21 @@ def test_leaks(spark, make):
     assert decontaminate.leaks(make(docs), bench.where("false")).count() == 0
 
 
+def test_leaks_with_an_edited_or_cut_answer(spark, make):
+    r = random.Random(11)
+    items = [(i, passage(r, 30) + ". " + passage(r, 1 + i % 6) + ".") for i in range(24)]
+    docs = []
+    for i, t in items:
+        words = t.split()
+        docs += [(i, passage(r, 40) + " " + " ".join([*words[:-1], "changed."]) + " " + passage(r, 40)), (100 + i, " ".join(words[:-1])), (200 + i, " ".join(words[: len(words) // 2]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.leaks(make(docs), bench).collect()
+    assert sorted((x.doc_id, x.item_id) for x in got) == sorted((k + i, i) for i, _ in items for k in (0, 100))
+    # Where the answer is one shingle, an edit leaves nothing of it.
+    assert {x.answer_overlap for x in got if x.doc_id % 100 % 6 < 5} == {0.0} and all(x.question_overlap > 0.8 for x in got)
+    assert sorted(x.doc_id for x in decontaminate.clean(make(docs), bench, ["doc_id", "text"]).collect()) == [200 + i for i, _ in items]
+
+
 def test_wand_is_exact(monkeypatch):
     r = random.Random(9)
     items = [(i, passage(r, r.randint(5, 40))) for i in range(100)]
