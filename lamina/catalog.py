@@ -107,6 +107,13 @@ def walk_batches_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(seen, "batch long, n long")
 
 
+@query("SELECT r // 1000 * 4 + r % 1000 // 300 + 1 AS batch, count(*) AS n, sum(event_id)::BIGINT AS total FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events) GROUP BY 1")
+def walk_batches_driver_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = []
+    grouped_events(spark, sf_dir).walk_batches(lambda batch, index: seen.append((index, batch.num_rows, sum(batch.column("event_id").to_pylist()))), ["event_id"], batch_size=300, int64="integer64")
+    return spark.createDataFrame(seen, "batch long, n long, total long")
+
+
 @query(" UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n_rows, {n}::BIGINT AS n_columns FROM {t}" for t, n in zip(TABLES, (2, 3, 5, 4, 6, 6, 11, 6), strict=True)))
 def dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(t, *open_parquet(spark, at(sf_dir, t)).dim) for t in TABLES], "name string, n_rows long, n_columns long")
