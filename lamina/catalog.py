@@ -239,6 +239,15 @@ def bloom_filter_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(zip(wanted, inspection.bloom_filter_may_contain(f, "event_id", wanted), strict=True)), "value long, found boolean")
 
 
+@query("SELECT (r // 1000 + 1)::INTEGER AS row_group, event_id AS value, true AS found FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events)")
+def bloom_filter_present_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f, seen = grouped_events(spark, sf_dir), []
+    for g in f.footer.row_groups:
+        wanted = f.collect(["event_id"], row_groups=[g.row_group], int64="integer64").toArrow().column("event_id").to_pylist()
+        seen += [(g.row_group, v, found) for v, found in zip(wanted, inspection.bloom_filter_may_contain(f, "event_id", wanted, g.row_group), strict=True)]
+    return spark.createDataFrame(seen, "row_group int, value long, found boolean")
+
+
 @query(values("name, valid", [(t, "true") for t in TABLES]))
 def validate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(t, str(inspection.validate_parquet(spark, at(sf_dir, t))).lower()) for t in TABLES], "name string, valid string")
