@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,18 +101,20 @@ def proposals(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
     """Spans of the looser patterns that touch no base span and no proposal before them."""
     taken = sorted((s, e) for _, s, e in base)
     starts = np.array([s for s, _ in taken])
-    out = []
+    out, proposed = [], []  # what is proposed never overlaps, so that its neighbours by place tell
     for kind, pattern in ((0, SPELLED), (2, GROUPED), (3, NATIONAL)):
         for m in pattern.finditer(text):
             s, e = m.span()
             i = int(np.searchsorted(starts, s, side="right"))
             if (i and taken[i - 1][1] > s) or (i < len(taken) and taken[i][0] < e):
                 continue
-            if any(x < e and s < y for _, x, y in out[-8:]):
+            i = bisect(proposed, (s, e))
+            if (i and proposed[i - 1][1] > s) or (i < len(proposed) and proposed[i][0] < e):
                 continue
             if kind != 0 and (text[s - 1 : s].isalnum() or text[e : e + 1].isalnum()):
                 continue
             out.append((kind, s, e))
+            insort(proposed, (s, e))
     return out
 
 

@@ -203,6 +203,20 @@ def test_base_spans():
 PERSONAL = ["write to ann.b@mail.example.com now", "call +1 (555) 201-9988 today", "card 4111 1111 1111 1111 ok", "host 10.20.30.40 up", "+1 (269) 555-3296 4524132264652876 both", "ann [at] example [dot] com", "tel (555) 201-9988", "nothing here", "version 1.2.3", None, "", "x@y", "999.1.1.1", "٣٣٣ 🙂 a@b.cd"]
 
 
+def test_proposals_never_overlap():
+    for n in (8, 9, 20, 300):
+        text = "; ".join(["1234 5678 9012 3456"] * n)  # fails Luhn
+        assert pii.base_spans(text) == []
+        found = pii.proposals(text, [])
+        assert [k for k, _, _ in found] == [2] * n, n
+    r = random.Random(4)
+    parts = ["1234 5678 9012 3456", "(555) 201-9988", "a [at] b [dot] com", "555-201-9988", "x", "12"]
+    for _ in range(300):
+        text = " ".join(r.choice(parts) for _ in range(40))
+        spans = sorted((s, e) for _, s, e in pii.proposals(text, []))
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False)), text
+
+
 def test_find(spark, make):
     rows = [(i, t) for i, t in enumerate(PERSONAL)] + [(100 + i, t) for i, t in enumerate(ODD)] + [(0, PERSONAL[0]), (None, PERSONAL[1])]
     got = pii.find(make(rows)).collect()
