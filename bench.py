@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from lamina.sources.scan import open_parquet
 from lamina.sources.write import write_parquet
-from lamina.session import shared_dir
+from lamina.session import run_dir
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -34,7 +34,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     lineitem, orders = open_parquet(spark, f"{SF_DIR}/lineitem.parquet"), open_parquet(spark, f"{SF_DIR}/orders.parquet")
-    at = f"{shared_dir(spark)}/lamina/bench"
+    at = f"{run_dir(spark)}/bench"
     grouped = f"{at}-grouped.parquet"
     write_parquet(spark.read.parquet(lineitem.path), grouped, row_group_size=100_000)
     many = open_parquet(spark, grouped)

@@ -14,7 +14,7 @@ from lamina.functions import converters
 from lamina.operators import inspection
 from lamina.plans.types import type_mapping
 from lamina.plans.write_schema import infer_parquet_schema, parquet_schema
-from lamina.session import shared_dir
+from lamina.session import run_dir
 from lamina.sources.scan import ParquetFile, open_parquet, read_parquet, read_plan
 from lamina.sources.write import CODECS, notes, write_dataset, write_parquet
 from lamina.streaming.stream import read_stream
@@ -42,7 +42,7 @@ def at(sf_dir: str, name: str) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lamina/{name}-{uuid.uuid4().hex}.parquet"
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}.parquet"
 
 
 def grouped_events(spark: SparkSession, sf_dir: str) -> ParquetFile:

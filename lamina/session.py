@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,18 +27,28 @@ def session(app: str = "lamina", **more) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is the session's ``spark.checkpoint.dir``.  Only where that is unset, as
-    in local tests, a temporary folder takes its place.
+    It is the session's ``spark.checkpoint.dir``.  Only in a single local
+    process, as in tests, may that be unset; then a temporary folder takes its
+    place.  On a cluster an unset folder is an error, as each executor would
+    write to a disk of its own.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lamina-"))
-        at = spark.sparkContext.getCheckpointDir()
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="lamina-"))
+        at = context.getCheckpointDir()
     return at.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder; no other application writes or deletes there."""
+    return f"{shared_dir(spark)}/lamina/{spark.sparkContext.applicationId}"
+
+
 def clear_shared(spark: SparkSession) -> None:
-    """Removes what the toolkit has staged in the shared folder; results that still read it must be written before."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lamina")
+    """Removes what this application has staged; results that still read it must be written before."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
