@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamina.llm import bpe, decontaminate, pii, simhash, toxicity
-from lamina.llm.shared import shared_dir, stage, table
+from lamina.llm.shared import stage, table
+from lamina.session import run_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -62,7 +63,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    root = f"{shared_dir(spark)}/lamina/pipeline-{uuid.uuid4().hex}"
+    root = f"{run_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, step in STAGES[:-1]:
         step(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
         docs = spark.read.parquet(f"{root}/{name}")

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.session import shared_dir
+from lamina.session import run_dir
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -20,7 +20,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     the work before them, and several readers share one computation.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lamina/{label}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
