@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -127,7 +128,9 @@ class WordEncoder:
 
     The vocabulary's own rules make this exact: white space separates words and
     is dropped, so a text's ids are those of its space-separated pieces, one
-    after the other, and a run of letters ends at what is no letter.
+    after the other, and a run of letters ends at what is no letter.  Control
+    strings are matched in the text as it is, before it is lower-cased; so a
+    piece that could hold one goes to the library whole and unchanged.
     """
 
     def __init__(self, path: str, most: int = 500_000):
@@ -141,6 +144,8 @@ class WordEncoder:
 
     @staticmethod
     def parts(piece: str) -> list[str]:
+        if "<|" in piece:
+            return [piece]
         if piece.isascii():
             if piece.islower() and piece.isalpha():
                 return [piece]
@@ -187,36 +192,56 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+#: A sample of so many doc_ids a shard sets the shards' bounds, of at most this many shards: 8 MB on the driver.
+SAMPLED, MOST_SHARDS = 64, 1 << 14
+NO_ID = -(1 << 63)  # stands for a null doc_id, which comes before all others
+
+
+def shard_bounds(docs: DataFrame, shard_documents: int) -> np.ndarray:
+    """Ascending doc_ids that end the shards but the last; an id that fills several shards comes several times.
+
+    From a sample of rows, so that an id weighs as much as it has rows.
+    """
+    total = docs.count()
+    shards = min(MOST_SHARDS, max(1, -(-total // shard_documents)))
+    if shards == 1:
+        return np.empty(0, np.int64)
+    share = min(1.0, SAMPLED * shards / total)
+    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id")).sample(share, seed=11).toArrow().column("id").to_numpy()
+    return np.quantile(np.sort(ids), np.arange(1, shards) / shards, method="lower") if len(ids) else np.empty(0, np.int64)
+
+
 def write_token_blocks(docs: DataFrame, path: str, end_id: int = 1, block_ids: int = 1 << 18, shard_documents: int = 4096) -> tuple[DataFrame, DataFrame]:
     """Encodes ``docs`` and writes blocks in ascending doc_id order.
 
     Returns the written files as ``shard, block, first_id, n_ids, payload`` and
     the shards' starts as ``shard, start``.  Null doc_ids come first; documents
-    of one doc_id follow each other in the order of their ids' bytes.  Each
-    document, also one with null or empty text, ends with ``end_id``.
+    of one doc_id follow each other, within a shard in the order of their ids'
+    bytes.  Each document, also one with null or empty text, ends with
+    ``end_id``.  An empty table gives no blocks.
 
     The text is read once and never shuffled: what moves is each document's
-    packed ids, to the shard of its doc_id range.  Ranges are quantiles of all
-    doc_ids, so that a shard holds about ``shard_documents`` documents; the
-    quantiles grow with the table by 8 bytes a shard.  A document longer than
-    a block is a block of its own.
+    ids, to the shard of its doc_id range, one shard to a task.  The rows of a
+    doc_id that fills several shards are dealt to these in turn.  Beyond
+    ``MOST_SHARDS`` shards, they grow instead.  A document longer than a block
+    is a block of its own.
     """
-    spark = docs.sparkSession
-    total = docs.count()
-    shards = max(1, -(-total // shard_documents))
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)], 10 * max(1000, shards)).alias("q")).first()["q"] if shards > 1 else []
-    cuts = np.array(sorted(set(cuts or [])), dtype=np.int64)
+    cuts = shard_bounds(docs, shard_documents)
+    shards = len(cuts) + 1
 
     width = np.uint16 if len(encoder(path).last) <= 1 << 16 else np.uint32  # what a vocabulary's ids need on their way
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc, turn = encoder(path), 0
         for batch in batches:
             texts = texts_of(batch)
             for lo, hi in text_slices(texts, 16 << 20):
                 ids, at = enc.encode(texts.slice(lo, hi - lo))
                 name = batch.column(0).slice(lo, hi - lo)
-                shard = np.searchsorted(cuts, np.array([-(1 << 63) if x is None else x for x in name.to_pylist()], dtype=np.int64), side="left")
+                key = np.asarray(pc.fill_null(name, NO_ID))
+                shard, last = (np.searchsorted(cuts, key, side=x) for x in ("left", "right"))
+                shard += (turn + np.arange(len(key))) % (last - shard + 1)
+                turn += len(key)
                 ids = ids.astype(width)
                 runs = [ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), name, pa.array(runs, pa.binary())], names=["shard", "doc_id", "ids"])
@@ -245,9 +270,9 @@ def write_token_blocks(docs: DataFrame, path: str, end_id: int = 1, block_ids: i
         if held:
             yield block()
 
-    sent = docs.select("doc_id", "text").mapInArrow(packed, "shard int, doc_id long, ids binary")
+    sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(packed, "shard int, doc_id long, ids binary")
     written = stage(
-        sent.repartition(max(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), "shard").sortWithinPartitions("shard", "doc_id", "ids").mapInArrow(blocks, "shard int, block long, first_id long, n_ids long, payload binary"),
+        sent.repartitionById(shards, "shard").sortWithinPartitions("shard", "doc_id", "ids").mapInArrow(blocks, "shard int, block long, first_id long, n_ids long, payload binary"),
         "tokens",
     )
     sizes = written.groupBy("shard").agg(F.sum("n_ids").alias("n"))
