@@ -2,21 +2,26 @@
 
 Base patterns find e-mail and IP addresses, card and phone numbers; their spans
 stay whatever follows.  Looser patterns propose more spans.  On every span four
-labelers vote yes, no or nothing: its format, a gazetteer of its parts (domain
-endings, issuer prefixes, dialling codes, address blocks), its checksum or
-range, and the words around it.  Expectation-maximisation estimates how far
-each labeler is to be trusted, from the votes alone, and its posteriors train a
-logistic span classifier, which decides on the proposed spans.
+labelers vote yes, no or nothing: its format, a gazetteer (domain endings,
+issuers' number ranges and lengths, dialling codes, address blocks), its
+checksum or range, and the words around it.  Expectation-maximisation estimates
+how far each labeler is to be trusted, from the votes alone, and its posteriors
+train a logistic span classifier.  That one doesn't see the votes but the span
+and its neighbours: checksum, separators, groups and digits, the characters on
+either side, and the word before in one of ``WORDS`` buckets.  It decides on
+the proposed spans.
 
 Votes and features of a span are one short pattern string; what is learnt rests
-on the counts of these patterns over all documents, of which there are a few
-hundred whatever the corpus.
+on the counts of these patterns over all documents.  Their number is bounded by
+what votes and features can say, and is some thousands in practice.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
+import zlib
 from bisect import bisect, insort
 from collections.abc import Iterator
 
@@ -47,7 +52,15 @@ CUES = {
     "phone": {"phone", "tel", "call", "fax", "mobile", "cell", "telefon", "anruf", "appelez", "llame", "whatsapp"},
 }
 AGAINST = {"version", "v", "isbn", "doi", "page", "pages", "figure", "table", "order", "invoice", "build", "release"}
-ENDINGS = {"com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "eu", "us", "info", "biz", "co"}
+#: Fixed values, public: generic domain endings and common national ones.
+ENDINGS = set("com org net edu gov mil int info biz name pro mobi app dev io ai co me tv cc xyz online site shop tech cloud ac ad ae ar at au be bg br ca ch cl cn cz de dk ee es eu fi fr gr hk hr hu id ie il in is it jp kr lt lu lv mx my nl no nz pe ph pl pt ro rs ru se sg si sk th tr tw ua uk us vn za".split())
+#: Fixed values, public: lowest and highest leading digits of card issuers, and the lengths of their numbers.
+ISSUERS = (("4", "4", (13, 16, 19)), ("51", "55", (16,)), ("2221", "2720", (16,)), ("34", "34", (15,)), ("37", "37", (15,)), ("6011", "6011", (16, 17, 18, 19)), ("644", "649", (16, 17, 18, 19)), ("65", "65", (16, 17, 18, 19)), ("3528", "3589", (16, 17, 18, 19)), ("300", "305", (14, 15, 16, 17, 18, 19)), ("36", "36", (14, 15, 16, 17, 18, 19)), ("38", "39", (16, 17, 18, 19)), ("62", "62", (16, 17, 18, 19)), ("50", "50", (16, 17, 18, 19)), ("56", "58", (16, 17, 18, 19)))
+#: Fixed values, public: dialling codes of one and two digits; what begins like the last ones has three.
+DIALLED = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
+DIALLED_THREE = set("21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split())
+#: Buckets of the word before a span.
+WORDS = 64
 
 
 def luhn(digits: str) -> bool:
@@ -118,28 +131,52 @@ def proposals(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
     return out
 
 
+def issued(digits: str) -> bool:
+    return any(low <= digits[: len(low)] <= high and len(digits) in sizes for low, high, sizes in ISSUERS)
+
+
+def dialled(digits: str) -> bool:
+    return digits[:1] in DIALLED or digits[:2] in DIALLED or (digits[:2] in DIALLED_THREE and len(digits) > 3)
+
+
+def block_vote(span: str) -> str:
+    """Whether an address block is one that hosts have; blocks for special use say no, private ones nothing."""
+    try:
+        ip = ipaddress.ip_address(span)
+    except ValueError:  # zeros in front, say
+        return "-"
+    return "y" if ip.is_global else "-" if ip.is_private and not ip.is_unspecified else "n"
+
+
+def kind_of(character: str) -> str:
+    """a letter, digit, white space, the text's end, or another character."""
+    return "e" if not character else "a" if character.isalpha() else "d" if character.isdigit() else "s" if character.isspace() else "o"
+
+
 def votes(text: str, kind: int, start: int, end: int, strict: bool) -> str:
-    """The labelers' votes (y, n or -) in the order format, gazetteer, check, context, and two features of the span."""
+    """The span's kind, the labelers' votes (y, n or -: format, gazetteer, check, context), then the classifier's features."""
     span, digits = text[start:end], digits_of(text[start:end])
-    form = "y" if strict else "n" if kind == 3 and "(" not in span and len(set(re.findall(r"[ .-]", span))) > 1 else "-"
+    apart = set(re.findall(r"[ .()\[\]-]", span))
+    form = "y" if strict else "n" if kind == 3 and "(" not in apart and len(apart) > 1 else "-"
     known, check = "-", "-"
     if kind == 0:
         known = "y" if re.split(r"[^A-Za-z0-9-]+", span.rstrip(") ]"))[-1].lower() in ENDINGS else "n"
         check = "y" if any(c.isalpha() for c in span[:2]) else "-"
     elif kind == 1:
-        parts = [int(p[-3:]) for p in span.split(".")]
-        known = "n" if parts[0] == 0 or parts[0] >= 240 else "y"
+        known = block_vote(span)
         check = "n" if text[start - 1 : start] in ("v", "V") or text[end : end + 1] == "." and text[end + 1 : end + 2].isdigit() else "-"
     elif kind == 2:
-        known = "y" if digits[0] in "3456" else "n"
+        known = "y" if issued(digits) else "n"
         check = "y" if luhn(digits) else "n"
     else:
-        known = "y" if span[0] in "+(" or digits[:2] == "00" else "-"
+        known = ("y" if dialled(digits) else "n") if span[0] == "+" else "-"
         check = "y" if 8 <= len(digits) <= 15 and len(set(digits)) > 2 else "n"
-    around = set(re.findall(r"[a-z-]+", text[max(0, start - 48) : start].lower()[-48:]))
-    context = "y" if around & CUES[KINDS[kind]] else "n" if around & AGAINST else "-"
-    shape = "c" if re.search(r"[ .()-]", span) else "p"
-    return f"{kind}{form}{known}{check}{context}{shape}{min(len(digits), 20) // 4}"
+    before = re.findall(r"[a-z-]+", text[max(0, start - 48) : start].lower()[-48:])
+    context = "y" if set(before) & CUES[KINDS[kind]] else "n" if set(before) & AGAINST else "-"
+    shape = "b" if apart & {"(", "["} else "x" if len(apart) > 1 else next(iter(apart), "p")
+    groups = min(9, len(re.findall(r"[0-9]+", span)))
+    word = zlib.crc32(before[-1].encode()) % WORDS if before else WORDS
+    return f"{kind}{form}{known}{check}{context}{shape}{groups}{min(len(digits), 20) // 4}{kind_of(text[start - 1 : start] if start else '')}{kind_of(text[end : end + 1])}{word:02d}"
 
 
 def scan(texts: pa.Array) -> Iterator[tuple[str, list, list]]:
@@ -201,28 +238,40 @@ def reliabilities(patterns: list[str], n: np.ndarray, rounds: int = 100) -> np.n
 
 
 def features(pattern: str) -> list[str]:
-    return ["all", *(f"{pattern[0]}{i}{c}" for i, c in enumerate(pattern[1:])), "k" + pattern[0]]
+    """What the classifier sees of a pattern: all but the votes, save the check, which is a fact of the span."""
+    kind = pattern[0]
+    seen = [pattern[3], *pattern[5:10], pattern[10:]]
+    return [kind, *(f"{kind}{i}{x}" for i, x in enumerate(seen))]
 
 
 def classify(patterns: list[str], n: np.ndarray, target: np.ndarray, steps: int = 300, decay: float = 1e-2) -> np.ndarray:
     """Probabilities of a logistic classifier fitted to ``target``, weighted by the counts' logarithms."""
-    names = sorted({f for p in patterns for f in features(p)})
-    x = np.array([[float(f in features(p)) for f in names] for p in patterns]).reshape(len(patterns), len(names))
-    w, weight = np.zeros(len(names)), np.log1p(n)
-    weight = weight / weight.sum() if len(weight) else weight
+    if not patterns:
+        return np.empty(0)
+    own = [features(p) for p in patterns]
+    number = {f: i for i, f in enumerate(sorted({f for x in own for f in x}))}
+    at, size = np.array([[number[f] for f in x] for x in own]), len(number)  # as many active features in every row
+    w, weight = np.zeros(size), np.log1p(n)
+    weight = weight / weight.sum()
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        h = (x * (weight * np.maximum(p * (1 - p), 1e-3))[:, None]).T @ x + decay * np.eye(len(names))
-        step = np.linalg.solve(h, x.T @ (weight * (p - target)) + decay * w)
+        p = 1 / (1 + np.exp(-np.clip(w[at].sum(1), -40, 40)))
+        curve, h = weight * np.maximum(p * (1 - p), 1e-3), decay * np.eye(size)
+        for i in range(at.shape[1]):
+            for j in range(at.shape[1]):
+                h += np.bincount(at[:, i] * size + at[:, j], weights=curve, minlength=size * size).reshape(size, size)
+        slope = decay * w
+        for i in range(at.shape[1]):
+            slope += np.bincount(at[:, i], weights=weight * (p - target), minlength=size)
+        step = np.linalg.solve(h, slope)
         w -= 0.5 * step
         if np.abs(step).max() < 1e-6:
             break
-    return 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
+    return 1 / (1 + np.exp(-np.clip(w[at].sum(1), -40, 40)))
 
 
 def accepted_patterns(docs: DataFrame) -> set[str]:
     """The patterns of proposals that the classifier takes; learnt from all documents' counts."""
-    rows = sorted(pattern_counts(docs).collect())  # at most kinds * 3**4 * 2 * 6 patterns
+    rows = sorted(pattern_counts(docs).collect())  # as many as votes and features can make, not as documents
     patterns, n = [r.pattern for r in rows], np.array([r.n for r in rows], dtype=float)
     if not patterns:
         return set()
@@ -237,7 +286,8 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 def find(docs: DataFrame) -> DataFrame:
     """Spans of each document; offsets count code points, ends exclusive.
 
-    Null text counts as empty.  Repeated rows come out as often as they went in.
+    Null text counts as empty.  Repeated rows come out as often as they went in;
+    an empty table gives none.
     """
     good = accepted_patterns(docs)
 
@@ -257,12 +307,18 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def mask(text: str, spans: list[tuple[int, int, int]]) -> str:
-    """``text`` with each span (the longer of overlapping ones first met) replaced by its kind's name."""
-    out, at = [], 0
-    for start, negative, kind in sorted((s, -e, k) for k, s, e in spans):
-        if start >= at:
-            out += [text[at:start], f"[{KINDS[kind].upper()}]"]
-            at = -negative
+    """``text`` without a character of any span; spans that overlap go together, with each of their kinds' names once."""
+    out, at, i = [], 0, 0
+    own = sorted((s, e, k) for k, s, e in spans)
+    while i < len(own):
+        start, end, kinds = own[i][0], own[i][1], []
+        while i < len(own) and (own[i][0] < end or own[i][0] == start):
+            end = max(end, own[i][1])
+            if own[i][2] not in kinds:
+                kinds.append(own[i][2])
+            i += 1
+        out += [text[at:start], *(f"[{KINDS[k].upper()}]" for k in kinds)]
+        at = end
     return "".join([*out, text[at:]])
 
 
