@@ -24,9 +24,9 @@ BUCKETS, WIDTH, GRAMS, SCALE = 1 << 17, 8, (3, 4, 5), 100.0
 THRESHOLD = 0.3
 
 
-def coded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Row offsets, codes and distinct words of lower-cased, white-space-separated texts."""
-    lists = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+def coded_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Row offsets, codes and distinct words of (lower-cased,) white-space-separated texts."""
+    lists = pc.utf8_split_whitespace(pc.utf8_lower(texts) if lower else texts)
     # Leading and trailing white space gives empty pieces; they count as no words.
     flat = lists.values
     some = np.asarray(pc.greater(pc.binary_length(flat), 0))
