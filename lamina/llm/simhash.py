@@ -5,8 +5,13 @@ vantage fingerprint and a radius, and a fingerprint goes to the inner or outer
 side by its Hamming distance to the vantage point.  By the triangle inequality
 two fingerprints within ``radius`` of each other differ by at most that in this
 distance; so those that lie just outside a boundary are also sent across as
-queries, and every linked pair meets in one leaf.  A leaf is searched by a tree
-of the same kind and yields a spanning forest of its links, not the pairs.
+queries, and every linked pair meets in one leaf.  Every level of the tree adds
+copies, so it stops at ``MOST_LEAVES``.  What is then still too much for a task
+is dealt on, within its leaf, by leading bits of its four 16-bit quarters: of
+two fingerprints that differ in three bits at most, one quarter is equal.  So a
+fingerprint has four times the tree's copies at most, whatever the table's
+size.  Each cell is searched by a tree of the same kind and yields a spanning
+forest of its links, not the pairs.
 """
 
 from __future__ import annotations
@@ -24,8 +29,9 @@ from lamina.llm.graph import connected
 from lamina.llm.shared import shuffle_width, stage, text_slices, texts_of
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
-#: Beyond, leaves hold more fingerprints instead (8 bytes each); their own trees divide them further.
-MOST_LEAVES = 1 << 14
+#: Leaves of the tree that deals fingerprints to tasks; beyond, quarters divide the leaves.
+MOST_LEAVES = 32
+QUARTERS, QUARTER = RADIUS + 1, 64 // (RADIUS + 1)
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -171,25 +177,39 @@ def search(fps: np.ndarray, home: np.ndarray, radius: int = RADIUS, leaf: int =
     return forest.up
 
 
-def links(distinct: DataFrame, leaf_size: int = 16_384, sample_per_leaf: int = 64) -> DataFrame:
-    """``a, b``: a spanning forest, leaf by leaf, of the links among distinct fingerprints (column fp).
+def cells(tree: tuple | int, bits: int, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, cell, at home) of each place that each fingerprint goes to: its leaves, divided by ``bits`` bits of each quarter."""
+    row, leaf, home = deal(tree, fps)
+    if not bits:
+        return row, leaf, home
+    parts = [fps[row] >> np.uint64(QUARTER * q) & np.uint64((1 << QUARTER) - 1) for q in range(QUARTERS)]
+    cell = np.concatenate([(leaf * QUARTERS + q << bits) + (p >> np.uint64(QUARTER - bits)).astype(np.int64) for q, p in enumerate(parts)])
+    return np.tile(row, QUARTERS), cell, np.tile(home, QUARTERS)
 
-    The tree of leaves is made on the driver from a sample that is bounded by
-    ``sample_per_leaf`` fingerprints a leaf, a million at most; it decides where pairs meet, not
-    which are found.  A group of near copies, however large, has few distinct
-    fingerprints: 43,745 lie within 3 bits of one.
+
+def links(distinct: DataFrame, leaf_size: int = 16_384, sample_per_leaf: int = 256) -> DataFrame:
+    """``a, b``: a spanning forest, cell by cell, of the links among distinct fingerprints (column fp).
+
+    The tree of leaves is made on the driver from a sample by hash of about
+    ``sample_per_leaf`` fingerprints a leaf, some thousands in all; it decides
+    where pairs meet, not which are found.  A group of near copies, however
+    large, has few distinct fingerprints: 43,745 lie within 3 bits of one.
     """
     spark = distinct.sparkSession
-    leaves = min(MOST_LEAVES, max(1, -(-distinct.count() // leaf_size)))
-    bound = sample_per_leaf * leaves
-    sample = np.array(sorted(r.fp for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(bound).collect()), dtype=np.int64).view(np.uint64) if leaves > 1 else np.empty(0, np.uint64)
+    n = distinct.count()
+    leaves = min(MOST_LEAVES, max(1, -(-n // leaf_size)))
+    bits = min(QUARTER, max(0, int(np.ceil(np.log2(max(1, n) / (leaves * leaf_size))))))
+    sample = np.empty(0, np.uint64)
+    if leaves > 1:
+        some = F.pmod(F.xxhash64("fp"), F.lit(1 << 32)) < int((1 << 32) * min(1.0, sample_per_leaf * leaves / n))
+        sample = np.sort(distinct.where(some).select("fp").toArrow().column("fp").to_numpy()).view(np.uint64)
     tree = grow(sample, leaves)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.asarray(batch.column(0)).view(np.uint64)
-            row, leaf, home = deal(tree, fps)
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), pa.array(fps[row].view(np.int64)), pa.array(home)], names=["leaf", "fp", "home"])
+            row, cell, home = cells(tree, bits, fps)
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int64()), pa.array(fps[row].view(np.int64)), pa.array(home)], names=["cell", "fp", "home"])
 
     def joined(tab):  # Spark takes the kind of function from its annotations; it has none
         fps = np.asarray(tab.column("fp")).view(np.uint64)
@@ -197,8 +217,8 @@ def links(distinct: DataFrame, leaf_size: int = 16_384, sample_per_leaf: int = 6
         linked = np.flatnonzero(roots != np.arange(len(fps)))
         return pa.table({"a": fps[roots[linked]].view(np.int64), "b": fps[linked].view(np.int64)})
 
-    placed = distinct.select("fp").mapInArrow(dealt, "leaf int, fp long, home boolean")
-    return placed.repartition(shuffle_width(spark), "leaf").groupBy("leaf").applyInArrow(joined, "a long, b long")
+    placed = distinct.select("fp").mapInArrow(dealt, "cell long, fp long, home boolean")
+    return placed.repartition(shuffle_width(spark), "cell").groupBy("cell").applyInArrow(joined, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -207,7 +227,8 @@ def near_duplicates(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     component_id is the smallest doc_id that links lead to, root the smallest
     fingerprint (as a signed number).  Documents without
     words have fingerprint 0 and link like others.  Rows with null doc_id keep
-    it, and take part; a component of only such rows has a null id.
+    it, and take part; a component of only such rows has a null id.  Repeated
+    rows come out as often as they went in; an empty table gives none.
     """
     own = stage(with_fingerprint(docs, ["doc_id", *carry]), "fingerprints")
     least = stage(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
