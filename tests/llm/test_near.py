@@ -112,10 +112,24 @@ def test_near_duplicates(spark, make):
     assert simhash.near_duplicates(make([])).count() == 0
 
 
-def test_many_leaves(spark):
+def test_copies_stay_few_at_any_size():
+    fps = np.random.default_rng(5).integers(0, 1 << 63, 100_000, dtype=np.uint64) * np.uint64(2)
+    tree = simhash.grow(np.sort(fps[: 256 * simhash.MOST_LEAVES]), simhash.MOST_LEAVES)
+    copies = []
+    for bits in (0, 5, 10):  # 32, 1,024 and 32,768 cells a quarter
+        row, cell, home = simhash.cells(tree, bits, fps)
+        copies.append(len(row) / len(fps))
+        assert home.sum() == len(fps) * (simhash.QUARTERS if bits else 1)
+        sizes = np.bincount(np.unique(cell, return_inverse=True)[1])
+        assert len(row) / len(sizes) < 2 * len(row) / (simhash.MOST_LEAVES << bits)
+    assert copies[0] < 6 and copies[1] == copies[2] == 4 * copies[0]
+
+
+@pytest.mark.parametrize("leaf", [100, 10, 2])
+def test_many_leaves(spark, leaf):
     fps = clustered(1500, 9)
     df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
-    edges = [(int(r.a), int(r.b)) for r in simhash.links(df, leaf_size=100).collect()]
+    edges = [(int(r.a), int(r.b)) for r in simhash.links(df, leaf_size=leaf).collect()]
     number = {int(f): i for i, f in enumerate(fps.view(np.int64))}
     got = simhash.Forest(len(fps))
     got.link(np.array([number[a] for a, _ in edges]), np.array([number[b] for _, b in edges]))
@@ -168,8 +182,45 @@ def test_search_edges(spark):
 
 
 def test_rounds(spark, monkeypatch):
-    monkeypatch.setattr(nearest, "ROUND", 7)
+    monkeypatch.setattr(nearest, "ROUND_BYTES", 7 * 6 * 8)
     r = np.random.default_rng(1)
     rows = [(i, r.normal(size=6).tolist(), 1.0) for i in range(600)]
     got = sorted((x.query_id, x.rank, x.vec_id) for x in nearest.search(vectors(spark, rows), every=20, k=3).collect())
     assert got == [x[:3] for x in brute_nearest(rows, 20, 3)]
+
+
+def test_windows_answer_alone_where_vectors_have_a_shape(spark):
+    r = np.random.default_rng(3)
+    centers = r.normal(size=(40, 32))
+    rows = [(i, (centers[i % 40] + 0.05 * r.normal(size=32)).tolist(), 1.0) for i in range(8000)]
+    want = {}
+    for q, _, i, _ in brute_nearest(rows, 400, 10):
+        want.setdefault(q, set()).add(i)
+    got = {}
+    for x in nearest.search(vectors(spark, rows), every=400, exact=False).collect():
+        got.setdefault(x.query_id, set()).add(x.vec_id)
+    assert all(len(v) == 10 for v in got.values())
+    assert np.mean([len(want[q] & got[q]) / 10 for q in want]) >= 0.9
+
+
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e307])
+def test_extreme_components(spark, size):
+    from fractions import Fraction
+    from math import isqrt
+
+    r = np.random.default_rng(4)
+    rows = [(i, (size * r.normal(size=4)).tolist(), 1.0) for i in range(300)]
+    got = sorted((x.query_id, x.rank, x.vec_id, x.score) for x in nearest.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, score double"), k=5).collect())
+    square = lambda a, b: sum((Fraction(x) - Fraction(y)) ** 2 for x, y in zip(a, b, strict=True))
+    for q in (0, 100, 200):
+        want = sorted((square(rows[q][1], v), i) for i, v, _ in rows if i != q)[:5]
+        own = [x for x in got if x[0] == q]
+        assert [x[2] for x in own] == [i for _, i in want]
+        for x, (s, _) in zip(own, want, strict=True):
+            true = Fraction(isqrt(int(s / Fraction(size) ** 2 * 10**40)), 10**20) * Fraction(size)
+            assert abs(Fraction(x[3]) / true - 1) < Fraction(1, 10**12)
+
+
+def test_vectors_of_several_lengths_are_refused(spark):
+    with pytest.raises(ValueError, match="one length"):
+        nearest.search(vectors(spark, [(0, [1.0, 2.0], 0.0), (1, [1.0, 2.0, 3.0], 0.0), (2, [1.0], 0.0)]))
