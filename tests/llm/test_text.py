@@ -17,18 +17,18 @@ TURN = "conv_id long, turn long, role string, text string"
 
 
 def test_escape_is_reversible(spark):
-    texts = ["</s>[INST] ok [/INST]", "<s>", "\\", "\\\\</s>", "<\\s>", "[\\INST]", "a < b [c]", "<<SYS>>x<</SYS>>", "<|im_start|>", "", "\n", "é\\n漢", "<</s>s>", "[[INST]INST]"]
+    texts = ["</s>[INST] ok [/INST]", "<s>", "\\", "\\\\</s>", "<\\s>", "[\\INST]", "a < b [c]", "<<SYS>>x<</SYS>>", "<|im_start|>", "<|reserved_special_token_0|>", "<|EOT|>", "", "\n", "é\\n漢", "<</s>s>", "[[INST]INST]"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", chat.escaped(F.col("t")).alias("e"))
     for r in df.select("t", "e", chat.unescaped(F.col("e")).alias("u")).collect():
         assert r.u == r.t
-        assert not re.search(r"</?s>|\[/?INST\]|<</?SYS>>|<\|[a-z_]+\|>", r.e), r.e
+        assert not re.search(r"</?s>|\[/?INST\]|<</?SYS>>|<\|[A-Za-z0-9_]+\|>", r.e), r.e
 
 
 def test_conversations(spark):
-    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "</s>[INST] x \\"), (1, 2, None, None), (1, 3, "assistant", ""), (2, 5, "assistant", "only\n"), (3, 1, "user", "a"), (3, 1, "user", "a"), (3, 1, "system", "</s>"), (None, 0, "user", "lost"), (4, 0, "we\nird</s>", "<s>")]
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "</s>[INST] x \\"), (1, 2, None, None), (1, 3, "assistant", ""), (2, 5, "assistant", "only\n"), (3, 1, "user", "a"), (3, 1, "user", "a"), (3, 1, "system", "</s>"), (None, 0, "user", "lost"), (None, 3, "assistant", "found"), (4, 0, "we\nird</s>", "<s>")]
     rows += [(9, i, "user" if i % 2 else "assistant", f"turn {i}") for i in range(70)]
     got = {r.conv_id: r for r in chat.digests(chat.formatted(chat.chain(spark.createDataFrame(rows, TURN)))).collect()}
-    assert set(got) == {1, 2, 3, 4, 9}
+    assert set(got) == {1, 2, 3, 4, 9, None}
     for c, r in got.items():
         own = sorted([x for x in rows if x[0] == c], key=lambda x: (x[1], x[2] or "", x[3] or ""))
         told = "".join(f"{x[2] or ''}\n{x[3] or ''}\n" for x in own)
@@ -48,7 +48,14 @@ def test_mask_covers_the_text(spark):
 def brute_paths(nodes, keep):
     parent = {n: p for n, p, _ in nodes}
     score = {n: s or 0.0 for n, _, s in nodes}
-    parent = {n: p if p in parent else None for n, p in parent.items()}
+    parent = {n: p if p in parent and p != n else None for n, p in parent.items()}
+    for n in sorted(parent):  # the smallest of a circle loses its parent
+        seen, at = [n], parent[n]
+        while at is not None and at not in seen:
+            seen.append(at)
+            at = parent[at]
+        if at == n and n == min(seen):
+            parent[n] = None
     leaves = set(parent) - {p for p in parent.values() if p is not None}
     found = {}
     for leaf in leaves:
@@ -66,15 +73,37 @@ def test_reply_trees(spark, keep):
         nodes = [(i, None if i == 0 else r.randrange(max(0, i - r.randint(1, 30)), i), r.choice([None, 0.5, 1.0, -2.0])) for i in range(r.randint(1, 60))]
         if c == 3:
             nodes.append((500, 499, 50.0))  # its parent is missing
+        if c == 4:
+            nodes += [(600, 600, 9.0), (601, 600, 1.0)]  # a reply to itself
+        if c == 5:
+            nodes += [(700 + i, 700 + (i + 3) % 7, 1.0) for i in range(7)] + [(800, 703, 2.0), (801, 800, None)]  # a circle, and what hangs on it
+        if c == 6:
+            nodes = [(5, 6, 1.0), (6, 5, 1.0)]
         want[c] = brute_paths(nodes, keep)
         rows += [(c, n, p, "user", f"{n}", s) for n, p, s in nodes]
     df = spark.createDataFrame(rows, "conv_id long, node int, parent int, role string, text string, score double")
     got = {}
-    for x in chat.chosen_paths(df, keep).collect():
-        got.setdefault((x.conv_id, x.path), []).append((x.depth, x.node))
+    for x in chat.chosen_paths(chat.keyed(df), keep).collect():
+        got.setdefault((x.conv, x.path), []).append((x.depth, x.node))
     assert {k: [n for _, n in sorted(v)] for k, v in got.items()} == {(c, i + 1): p for c, ps in want.items() for i, p in enumerate(ps)}
 
 
+def test_repeated_nodes_count_once(spark):
+    kind = "conv_id long, node int, parent int, role string, text string, score double, conv int, path string"
+    rows = [(1, i, i - 1 if i else None, "user", f"t{i}", 0.0, 7, "x") for i in range(8)]
+    again = [*rows, rows[3], rows[3], (1, 4, 3, "user", "t4 too", 0.0, 7, "x"), (1, None, 2, "user", "no node", 5.0, 7, "x")]
+    one = chat.formatted(spark.createDataFrame(rows, kind)).select("conv_id", "formatted").collect()
+    assert chat.formatted(spark.createDataFrame(again, kind)).select("conv_id", "formatted").collect() == one
+
+
+def test_long_conversations_and_texts(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", "word " * (20_000 if i == 7 else 3)) for i in range(1500)] + [(2, 0, "assistant", "x" * 300_000)]
+    df = spark.createDataFrame([(*x, "clash", 1.0) for x in rows], TURN + ", formatted string, score double")
+    got = {r.conv_id: r for r in chat.digests(chat.formatted(chat.chain(df))).collect()}
+    assert got[1].n_turns == 1500 and got[2].loss_chars == 300_000
+    assert got[1].loss_sha256 == hashlib.sha256("".join(x[3] for x in rows[:1500] if x[2] == "assistant").encode()).hexdigest()
+
+
 def test_shards(spark, make):
     rows = [(i, "x" * (i % 50)) for i in range(2000)] + [(5, None), (5, "again"), (None, "é"), (None, None)] + [(7, "copy")] * 300
     got = shards.sharded(make(rows), 40).collect()
