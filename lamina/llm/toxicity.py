@@ -5,6 +5,10 @@ mean of its distinct words' vectors; embeddings and softmax weights are trained
 A misspelling that was never seen shares most n-grams with what was.  As all is
 linear before the softmax, a word adds a fixed amount to a document's score, so
 scoring works out each distinct word once for a batch.
+
+What few training texts hold teaches nothing about others: an n-gram bucket that
+fewer than ``least`` of them have keeps a zero vector.  Training and scoring are
+thus one and the same function of a text.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.shared import Cache, text_slices, texts_of
+from lamina.llm.shared import Cache, distinct_sorted, gather, text_slices, texts_of
 
 BUCKETS, WIDTH, GRAMS, SCALE = 1 << 17, 8, (3, 4, 5), 100.0
 THRESHOLD = 0.3
@@ -38,7 +42,7 @@ def coded_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nda
 def distinct(offsets: np.ndarray, codes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with each word of a text once, so that a word said over and over weighs no more than another."""
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    pair = np.unique(row * max(1, words) + codes)
+    pair = distinct_sorted(row * max(1, words) + codes)
     return np.searchsorted(pair, np.arange(len(offsets)) * max(1, words)), pair % max(1, words)
 
 
@@ -101,7 +105,8 @@ def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, st
     """Full-batch Adam on embeddings and softmax weights together, with a group penalty on embeddings.
 
     ``prior``: the share of label 1 among all labelled rows.  The bias is
-    moved from the sample's share to it.
+    moved from the sample's share to it.  ``least``: texts that a bucket must
+    stand in to get a vector, whatever the sample's size.
     """
     y = np.asarray(labels, dtype=np.float64)
     base = min(max(prior, 1e-4), 1 - 1e-4)
@@ -111,24 +116,25 @@ def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, st
     offsets, word = distinct(offsets, codes, len(words))
     doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
     weight = 1 / np.maximum(np.diff(offsets), 1)[doc]
-    # What few documents hold teaches nothing about others; its weight in the mean stays, its value is 0.
-    often = np.bincount(word, minlength=len(words)) >= (least if len(texts) >= 1000 else 2)
-    number = np.cumsum(often) - 1
-    keep = often[word]
-    doc, word, weight = doc[keep], number[word[keep]], weight[keep]
-    words = [w for w, ok in zip(words, often.tolist(), strict=True) if ok]
     ids, at = grams(words)
     sizes = np.diff(at)
+    # Texts of each bucket: a text counts once, however many of its words have the bucket.
+    bucket, ends = gather(word, ids, at)
+    rare = np.bincount(distinct_sorted(np.repeat(doc, np.diff(ends)) * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS) < least
+    # Zero vectors add nothing to a word's mean, but count in its size; only the others are held and trained.
+    active = np.flatnonzero(~rare)
+    gram_word = np.repeat(np.arange(len(words)), sizes)[~rare[ids]]
+    ids = (np.cumsum(~rare) - 1)[ids[~rare[ids]]]
     rng = np.random.default_rng(seed)
-    e, w, b = rng.normal(0, 0.01, (BUCKETS, WIDTH)), rng.normal(0, 0.5, (WIDTH, 2)), np.log(y.mean() / (1 - y.mean()))
+    e, w, b = rng.normal(0, 0.01, (len(active), WIDTH)), rng.normal(0, 0.5, (WIDTH, 2)), np.log(y.mean() / (1 - y.mean()))
     me, ve, mw, vw, mb, vb = np.zeros_like(e), np.zeros_like(e), np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
         u = w[:, 1] - w[:, 0]
-        of_word = run_means((e @ u)[ids], at)
+        of_word = np.bincount(gram_word, weights=(e @ u)[ids], minlength=len(words)) / sizes
         z = SCALE * np.bincount(doc, weights=weight * of_word[word], minlength=len(texts)) + b
         delta = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)  # of class 1; class 0 has its negative
         by_word = np.bincount(word, weights=weight * delta[doc], minlength=len(words)) / sizes
-        pull = SCALE * np.bincount(ids, weights=np.repeat(by_word, sizes), minlength=BUCKETS)
+        pull = SCALE * np.bincount(ids, weights=by_word[gram_word], minlength=len(active))
         ge, gw, gb = np.outer(pull, u) + decay * e, np.outer(e.T @ pull, [-1.0, 1.0]) + decay * w, delta.sum()
         lr = rate * np.sqrt(1 - 0.999**t) / (1 - 0.9**t)
         me, ve = 0.9 * me + 0.1 * ge, 0.999 * ve + 0.001 * ge * ge
@@ -141,7 +147,9 @@ def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, st
         w -= lr * mw / (np.sqrt(vw) + 1e-8)
         b -= lr * mb / (np.sqrt(vb) + 1e-8)
     shift = np.log(base / (1 - base)) - np.log(y.mean() / (1 - y.mean()))
-    return Model((e @ (w[:, 1] - w[:, 0])).astype(np.float32), float(b + shift))
+    gram = np.zeros(BUCKETS, np.float32)
+    gram[active] = e @ (w[:, 1] - w[:, 0])
+    return Model(gram, float(b + shift))
 
 
 def held_out() -> F.Column:
@@ -154,7 +162,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, most_bytes: i
     The bound: ``per_class`` documents of each label, by a hash of doc_id, of
     texts up to ``most_bytes`` each (96 MB on each class at most).  The prior
     counts all labelled rows.  A doc_id with several labels counts as its
-    largest; null labels, texts and ids count as none.
+    largest, one with several texts as the first of these by their hash; null
+    labels, texts and ids count as none.  Without labels of both classes, or
+    without documents, every score is the prior.
     """
     own = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -166,8 +176,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, most_bytes: i
         some = own.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         ids = some if ids is None else ids.unionAll(some)
     text = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes))
-    rows = text.join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "text").collect()  # 2 * per_class ids are broadcast at most
-    rows.sort(key=lambda r: (r.doc_id, r.text))
+    found = text.join(F.broadcast(ids), "doc_id")  # 2 * per_class ids are broadcast at most
+    # However often a sampled id comes, one text of it goes to the driver.
+    rows = found.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("x")).select("doc_id", "toxic", "x.text").collect()
+    rows.sort(key=lambda r: r.doc_id)
     return train([r.text for r in rows], np.array([r.toxic for r in rows]), counts.get(1, 0) / sum(counts.values()))
 
 
@@ -191,6 +203,10 @@ def scored(docs: DataFrame, model: Model, columns: list[str] | None = None) -> D
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every document."""
+    """``doc_id, held_out, score, predicted`` of every document.
+
+    Null text counts as empty, which scores as its bias says; a null doc_id is
+    not held out.  Repeated rows come out as often as they went in.
+    """
     out = scored(docs, fit(docs, labels))
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
