@@ -42,7 +42,8 @@ def op6_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.edited_counts(counts.standard_edits(table(spark, sf_dir, "documents")), public_tokenizers.path(BYTE_BPE))
+    path = public_tokenizers.path(BYTE_BPE)
+    return counts.edited_counts(counts.standard_edits(counts.plant(table(spark, sf_dir, "documents"), path)), path)
 
 
 def op8_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

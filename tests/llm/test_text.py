@@ -407,6 +407,89 @@ def test_toxicity(spark, make):
     assert score[0] > score[1]
 
 
+def naive_grams(word):
+    bare = f"<{word.strip('.,;:!?\"()[]')}>"
+    out = []
+    for n in range(1, max(toxicity.GRAMS) + 1):
+        for i in range(len(bare) - n + 1):
+            if n in toxicity.GRAMS or (i == 0 and len(bare) == n):
+                h = 0
+                for k in range(n):
+                    h = (h * 0x9E3779B97F4A7C15 + ord(bare[i + k]) + k + 1) % 2**64
+                    h ^= h >> 29
+                out.append((h * 0xBF58476D1CE4E5B9 % 2**64 >> 40) % toxicity.BUCKETS)
+    return out
+
+
+def naive_words(text):
+    return sorted(set(text.lower().split()))
+
+
+def naive_train(texts, y, least, steps, rate, shrink, decay):
+    """The same training with loops over texts, words and n-grams."""
+    bags = [[naive_grams(w) for w in naive_words(t)] for t in texts]
+    seen = {}
+    for bag in bags:
+        for g in {g for word in bag for g in word}:
+            seen[g] = seen.get(g, 0) + 1
+    active = sorted(g for g, n in seen.items() if n >= least)
+    rng = np.random.default_rng(1)
+    e = {g: v for g, v in zip(active, rng.normal(0, 0.01, (len(active), toxicity.WIDTH)), strict=True)}
+    w, b = rng.normal(0, 0.5, (toxicity.WIDTH, 2)), np.log(np.mean(y) / (1 - np.mean(y)))
+    zero = np.zeros(toxicity.WIDTH)
+    me, ve, mw, vw, mb, vb = {g: zero for g in active}, {g: zero for g in active}, w * 0, w * 0, 0.0, 0.0
+    for t in range(1, steps + 1):
+        u = w[:, 1] - w[:, 0]
+        hidden = [np.mean([np.mean([e.get(g, zero) for g in word], axis=0) for word in bag], axis=0) if bag else zero for bag in bags]
+        delta = [(1 / (1 + np.exp(-(toxicity.SCALE * h @ u + b))) - k) / len(y) for h, k in zip(hidden, y, strict=True)]
+        ge = {g: decay * e[g] for g in active}
+        for bag, d in zip(bags, delta, strict=True):
+            for word in bag:
+                for g in word:
+                    if g in e:
+                        ge[g] = ge[g] + toxicity.SCALE * d * u / len(bag) / len(word)
+        gu = toxicity.SCALE * sum((d * h for d, h in zip(delta, hidden, strict=True)), zero)
+        gw, gb = np.outer(gu, [-1.0, 1.0]) + decay * w, sum(delta)
+        lr = rate * np.sqrt(1 - 0.999**t) / (1 - 0.9**t)
+        for g in active:
+            me[g], ve[g] = 0.9 * me[g] + 0.1 * ge[g], 0.999 * ve[g] + 0.001 * ge[g] ** 2
+            e[g] = e[g] - lr * 0.1 * me[g] / (np.sqrt(ve[g]) + 1e-8)
+            e[g] = e[g] * max(0.0, 1 - shrink / max(np.sqrt((e[g] ** 2).sum()), 1e-12))
+        mw, vw = 0.9 * mw + 0.1 * gw, 0.999 * vw + 0.001 * gw * gw
+        mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
+        w, b = w - lr * mw / (np.sqrt(vw) + 1e-8), b - lr * mb / (np.sqrt(vb) + 1e-8)
+    return {g: e[g] @ (w[:, 1] - w[:, 0]) for g in active}, b
+
+
+def test_toxicity_is_that_of_plain_loops():
+    r = random.Random(5)
+    words = ["zonk", "zonked", "zonks", "mild", "milder", "a", "of", "the", "(the)", "é", "漢字", "thing,", "Things!"]
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(0, 9))) for _ in range(14)]
+    y = np.array([float("zonk" in t) for t in texts])
+    assert all(sorted(toxicity.grams([w])[0].tolist()) == sorted(naive_grams(w)) for w in [*words, "", "x", "longer-word"])
+    how = {"least": 2, "steps": 4, "rate": 0.1, "shrink": 1e-3, "decay": 3e-4}
+    model = toxicity.train(texts, y, y.mean(), **how)
+    gram, bias = naive_train(texts, y, **how)
+    assert np.allclose([model.gram[g] for g in gram], list(gram.values()), rtol=1e-5, atol=1e-9) and abs(model.bias - bias) < 1e-9
+    assert np.flatnonzero(model.gram).tolist() == sorted(g for g, v in gram.items() if v)
+    new = [*texts, "unseen words zonkery", "", "zonk zonk zonk", "\t lead"]
+    mean = lambda xs: float(np.mean(xs)) if xs else 0.0
+    want = [1 / (1 + np.exp(-(toxicity.SCALE * mean([mean([gram.get(g, 0.0) for g in naive_grams(w)]) for w in naive_words(t)]) + bias))) for t in new]
+    assert np.allclose(model.score(large(new)), want, rtol=1e-4)
+
+
+def test_a_labelled_id_of_many_texts_counts_once(spark, make):
+    rows = [(i, f"word{i} text") for i in range(40)] + [(7, f"copy {k % 5} of seven") for k in range(300)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    seen = []
+    kept, toxicity.train = toxicity.train, lambda texts, y, prior, **k: seen.append((texts, y)) or kept(texts, y, prior, **k)
+    try:
+        toxicity.fit(make(rows), labels)
+    finally:
+        toxicity.train = kept
+    assert len(seen[0][0]) == len(seen[0][1]) == len([i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2])
+
+
 def test_toxicity_without_labels(spark, make):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [x.predicted for x in toxicity.toxicity(make([(1, "text")]), none).collect()] == [0]

@@ -17,7 +17,7 @@ from lamina.llm import bpe, counts, simple8b
 from .conftest import ODD, large
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
-PARTS = [" ", "  ", "\n", "a", "The", "ing", "'s", "'RE", "é", "é", "　", "\x85", "1", "23", "!", "<|endoftext|>", "\t", "ß", "İ", "Σ", "漢", "🙂", "\x1c", "\xa0", "don't", ".", ",", "\x0b", "ﬁ", " word", " and"]
+PARTS = ["<|", "|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "a<|STARTOFTEXT|>b", "<|startoftext|>", " ", "  ", "\n", "a", "The", "ing", "'s", "'RE", "é", "é", "　", "\x85", "1", "23", "!", "<|endoftext|>", "\t", "ß", "İ", "Σ", "漢", "🙂", "\x1c", "\xa0", "don't", ".", ",", "\x0b", "ﬁ", " word", " and"]
 
 
 @pytest.fixture(scope="module")
@@ -115,6 +115,23 @@ def test_token_files(spark, make, word_library, shard):
         total += r.n_tokens
 
 
+def test_an_id_of_many_rows_fills_several_shards(spark, make):
+    r = random.Random(8)
+    rows = [(i, f"text {i}") for i in range(400)] + [(200, "the same copy")] * 200 + [(None, f"null {i}") for i in range(150)]
+    r.shuffle(rows)
+    written, starts = simple8b.write_token_blocks(make(rows), WORD, shard_documents=25)
+    got = sorted(simple8b.read_token_blocks(written, starts).collect(), key=lambda x: x.start)
+    assert len(got) == len(rows)
+    assert [x.doc_id for x in got[:150]] == [None] * 150
+    names = [x.doc_id for x in got[150:]]
+    assert names == sorted(names)
+    assert len({x.shard for x in got if x.doc_id == 200}) >= 4 and max(sum(x.shard == s for x in got) for s in {x.shard for x in got}) < 80
+    total = 0
+    for x in got:
+        assert x.start == total
+        total += x.n_tokens
+
+
 def test_no_documents(spark, make):
     assert simple8b.token_files(make([]), WORD).count() == 0
 
@@ -142,7 +159,8 @@ def test_edit_touches_few_leaves():
 
 def test_edited_counts(spark, make, byte_library):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(99, None), (99, "same id"), (None, "no id")]
-    got = sorted((str(r.doc_id), r.n_tokens, r.edited_tokens, r.edited_chars) for r in counts.edited_counts(counts.standard_edits(make(rows)), BYTE).collect())
+    trees = counts.plant(make(rows), BYTE)
+    got = sorted((str(r.doc_id), r.n_tokens, r.edited_tokens, r.edited_chars) for r in counts.edited_counts(counts.standard_edits(trees), BYTE).collect())
     want = []
     for i, t in rows:
         t = t or ""
@@ -151,4 +169,29 @@ def test_edited_counts(spark, make, byte_library):
         new = new[5:] + "\nThis line was added."
         want.append((str(i), n, len(byte_library.encode(new, add_special_tokens=False).ids), len(new)))
     assert got == sorted(want)
-    assert counts.edited_counts(make([(1, "abc")]).selectExpr("doc_id", "text", "cast(null as array<struct<start:int,removed:int,inserted:string>>) edits"), BYTE).first().edited_tokens == 1
+    none = trees.selectExpr("*", "cast(null as array<struct<start:int,removed:int,inserted:string>>) edits")
+    assert sorted((str(r.doc_id), r.n_tokens, r.edited_tokens, r.encoded_leaves) for r in counts.edited_counts(none, BYTE).collect()) == sorted((i, n, n, 0) for i, n, _, _ in want)
+    empty = counts.plant(make([]), BYTE)
+    assert counts.edited_counts(counts.standard_edits(empty), BYTE).count() == 0
+
+
+@pytest.mark.parametrize("most", [32 << 20, 0])
+def test_kept_trees_follow_a_table_of_edits(spark, make, byte_library, most):
+    r = random.Random(7)
+    texts = {i: " ".join(r.choice(["some", "words", "of", "a", "text", "\n", "don't", "漢字"]) for _ in range(r.randint(0, 900))) for i in range(30)}
+    trees = counts.plant(make(list(texts.items())), BYTE)
+    for _ in range(3):
+        edits = [(r.randrange(0, 40), n, r.randrange(0, 3000), r.randrange(0, 30), r.choice(["", " new", "x", None])) for n in range(40)] + [(None, 0, 0, 5, "lost")]
+        table = spark.createDataFrame(edits, "doc_id long, number int, start int, removed int, inserted string")
+        edited_ids = {e[0] for e in edits}
+        for i, _, start, removed, inserted in sorted((e for e in edits if e[0] is not None), key=lambda e: e[1]):
+            if i in texts:
+                at = min(start, len(texts[i]))
+                texts[i] = texts[i][:at] + (inserted or "") + texts[i][at + removed :]
+        rows = counts.edited(counts.with_edits(trees, table, most), BYTE).collect()
+        for x in rows:
+            assert x.text == texts[x.doc_id] and x.edited_chars == len(x.text) == sum(x.leaf_chars)
+            assert x.edited_tokens == len(byte_library.encode(x.text, add_special_tokens=False).ids) == sum(x.leaf_tokens)
+            assert x.doc_id in edited_ids or x.encoded_leaves == 0
+        assert {x.doc_id for x in rows} == set(texts)
+        trees = spark.createDataFrame([(x.doc_id, x.text, x.leaf_chars, x.leaf_tokens) for x in rows], counts.KEPT)
