@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.llm import bpe, decontaminate, pii, simhash, toxicity
@@ -21,20 +22,35 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model, COLUMNS).where("predicted = 0").select(*COLUMNS)
 
 
+#: Bytes of row addresses that may be broadcast; beyond, the rows to drop are joined by a shuffle.
+MOST_ADDRESSES, ADDRESS = 64 << 20, 200
+
+
+def addressed(docs: DataFrame) -> DataFrame:
+    """The documents with each row's place: its file and its number there.  What isn't a plain scan is written first."""
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    try:
+        return docs.select(*COLUMNS, *place)
+    except AnalysisException:
+        return stage(docs.select(*COLUMNS), "documents").select(*COLUMNS, *place)
+
+
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each SimHash component the row with its smallest doc_id; of several such rows one, by a hash of the text.
+    """Keeps of each SimHash component the row with its smallest doc_id; of several such rows the first by its place.
 
-    Rows without a doc_id come after all others.  Decisions travel as ids and
-    hashes; the texts are shuffled once, to the decisions.
+    The rule is that of the operator's query: three-word shingles and three
+    bits.  Rows without a doc_id come after all others.  Decisions are made on
+    ids, fingerprints and places; what joins the texts are the places of the
+    rows to drop.
     """
-    own = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
-    found = simhash.near_duplicates(own, ("row_key",))
-    head = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")).alias("head")
-    kept = stage(found.groupBy("root").agg(head).select(F.col("head.doc_id").alias("id"), F.col("head.row_key").alias("row_key")), "kept")
-    rows = own.join(kept, "row_key").where(F.col("doc_id").eqNullSafe(F.col("id")))
-    # Equal rows share a key, which is what the join has partitioned by.
-    copy = F.row_number().over(Window.partitionBy("row_key").orderBy("lang", "source", "n_chars"))
-    return rows.withColumn("copy", copy).where("copy = 1").select(*COLUMNS)
+    own = addressed(docs)
+    found = stage(simhash.near_duplicates(own, ("file", "row")).select("root", "doc_id", "file", "row"), "found")
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "file", "row")).alias("head")
+    kept = found.groupBy("root").agg(head).select("root", F.col("head.file").alias("kept_file"), F.col("head.row").alias("kept_row"))
+    others = (F.col("file") != F.col("kept_file")) | (F.col("row") != F.col("kept_row"))
+    dropped = stage(found.join(kept, "root").where(others).select("file", "row"), "dropped")
+    dropped = F.broadcast(dropped) if dropped.count() * ADDRESS <= MOST_ADDRESSES else dropped
+    return own.join(dropped, ["file", "row"], "left_anti").select(*COLUMNS)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,9 @@ def test_stages(spark, corpus):
             least[g] = min(i, least.get(g, i))
     assert sorted(str(i) for i, _ in got) == sorted(str(least.get(g)) for g in set(group))
 
+    shuffled = docs.repartition(3).cache()  # no scan whose rows have places
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.keep_one_of_near_copies(spark, shuffled, at).collect()) == sorted(str(i) for i, _ in got)
+
     clean = corpus_pipeline.keep_uncontaminated(spark, docs, at)
     assert clean.columns == corpus_pipeline.COLUMNS
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(i) for i, _ in rows if i != 602)
@@ -59,6 +62,14 @@ def test_stages(spark, corpus):
     assert "[EMAIL]" in masked.where("doc_id = 603").first().text
 
 
+def test_many_dropped_rows_are_joined_by_a_shuffle(spark, corpus, monkeypatch):
+    at, rows, _ = corpus
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    want = sorted(map(str, corpus_pipeline.keep_one_of_near_copies(spark, docs, at).collect()))
+    monkeypatch.setattr(corpus_pipeline, "MOST_ADDRESSES", 0)
+    assert sorted(map(str, corpus_pipeline.keep_one_of_near_copies(spark, docs, at).collect())) == want
+
+
 def test_run(spark, corpus):
     at, rows, toxic = corpus
     out = corpus_pipeline.run(spark, at)
