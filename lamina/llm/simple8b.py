@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -29,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.shared import Cache, gather, split_coded, stage, text_slices, texts_of
+from lamina.llm.shared import gather, split_coded, stage, text_slices, texts_of
 
 MAGIC = b"S8B1"
 #: Fixed by the coding: values in a word and bits of each, by selector from 1 on.
@@ -120,7 +119,10 @@ def read_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if m else d for d, m in zip(names.tolist(), marks.tolist(), strict=True)], np.concatenate([[0], ends]), unpack(words, escapes, n)
 
 
-WORD = re.compile(r"([a-z]+)([^a-z0-9'\s]*)")
+#: A Latin-1 letter beside one of these marks is always a boundary of pre-tokens: such letters stay one letter under any normalization,
+#: and the apostrophe, which begins contractions, isn't among the marks.
+LETTER, MARK = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}])", r"([.,;:!?&%#$\-()\"])"
+CONTROL = "<|"
 
 
 class WordEncoder:
@@ -128,60 +130,67 @@ class WordEncoder:
 
     The vocabulary's own rules make this exact: white space separates words and
     is dropped, so a text's ids are those of its space-separated pieces, one
-    after the other, and a run of letters ends at what is no letter.  Control
-    strings are matched in the text as it is, before it is lower-cased; so a
-    piece that could hold one goes to the library whole and unchanged.
+    after the other, and a space may be put in where a run of letters meets
+    punctuation.  Letters are lower-cased, so that may happen before.  Control
+    strings are matched in the text as it is; texts that could hold one are
+    split at white space only, and go to the library unchanged.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library, self.known = Tokenizer.from_file(path), Cache(most)
+        self.library, self.most = Tokenizer.from_file(path), most
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # what was known before; together they are bounded, and what is in use stays
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.last = np.zeros(max(self.library.get_vocab().values()) + 1, dtype=bool)
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     @staticmethod
-    def parts(piece: str) -> list[str]:
-        if "<|" in piece:
-            return [piece]
-        if piece.isascii():
-            if piece.islower() and piece.isalpha():
-                return [piece]
-            found = WORD.fullmatch(low := piece.lower())
-            return [x for x in found.groups() if x] if found else [low]
-        word = piece.rstrip(".,;:!?")
-        if len(word) < len(piece) and word.isalpha() and word.lower().isalpha() and unicodedata.is_normalized("NFC", word):
-            return [word, piece[len(word) :]]
-        return [piece]
+    def spaced(texts: pa.Array) -> pa.Array:
+        """Texts with the same ids, and fewer distinct pieces between their spaces."""
+        texts = pc.replace_substring(texts, "\n", " ")
+        plain = pc.ascii_lower(texts)
+        for pattern in (LETTER + MARK, MARK + LETTER):
+            plain = pc.replace_substring_regex(plain, pattern, r"\1 \2")
+        return pc.if_else(pc.match_substring(texts, CONTROL), texts, plain)
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encodes pieces that aren't known."""
+        # A word of letters gives one run of tokens, which only its last token ends; so many words can share a call.
+        words, others = [], []
+        for p in pieces:
+            alone = p.isascii() and p.isalpha() or unicodedata.normalize("NFC", p).lower().isalpha() and p.isalpha()
+            (words if alone else others).append(p)
+        for i in range(0, len(words), 4096):
+            some = words[i : i + 4096]
+            joined = [" ".join(some[k : k + 16]) for k in range(0, len(some), 16)]
+            ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(joined, add_special_tokens=False)])
+            raw, stops = ids.tobytes(), (np.flatnonzero(self.last[ids]) * 4 + 4).tolist()
+            self.known.update(zip(some, map(raw.__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
+        for i in range(0, len(others), 4096):
+            some = others[i : i + 4096]
+            for p, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.known[p] = np.array(e.ids, dtype=np.uint32).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts as uint32, and each text's offsets into them."""
-        self.known.room()
-        known = self.known
-        offsets, codes, pieces = split_coded(texts)
-        runs = list(map(known.get, pieces))
+        if len(self.known) >= self.most:
+            self.older, self.known = self.known, {}
+        offsets, codes, pieces = split_coded(self.spaced(texts))
+        runs = list(map(self.known.get, pieces))
         gaps = [i for i, r in enumerate(runs) if r is None]
-        new = [pieces[i] for i in gaps]
-        parts = [self.parts(p) for p in new]
-        fresh = list({p for x in parts for p in x if p not in known})
-        # A word of letters gives one run of tokens, which only its last token ends; so many words can share a call.
-        words = [p for p in fresh if p.isalpha() and p.lower().isalpha()]
-        for i in range(0, len(words), 4096):
-            joined = [" ".join(words[k : k + 16]) for k in range(i, min(i + 4096, len(words)), 16)]
-            ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(joined, add_special_tokens=False)])
-            raw, stops = ids.tobytes(), (np.flatnonzero(self.last[ids]) + 1).tolist()
-            for p, a, b in zip(words[i : i + 4096], [0, *stops[:-1]], stops, strict=True):
-                known[p] = raw[4 * a : 4 * b]
-        others = [p for p in fresh if p not in known]
-        for p, e in zip(others, self.library.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            known[p] = np.array(e.ids, dtype=np.uint32).tobytes()
-        for p, x in zip(new, parts, strict=True):
-            if len(x) > 1 or x[0] != p:
-                known[p] = b"".join([known[y] for y in x])
-        for i, p in zip(gaps, new, strict=True):
-            runs[i] = known[p]
+        fresh = []
+        for i in gaps:
+            p = pieces[i]
+            if (r := self.older.get(p)) is None:
+                fresh.append(p)
+            else:
+                self.known[p] = r
+        self.learn(fresh)
+        for i in gaps:
+            runs[i] = self.known[pieces[i]]
         starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, runs), np.int64, len(runs)) // 4)])
         ids, ends = gather(codes, np.frombuffer(b"".join(runs), dtype=np.uint32), starts)
         return ids, ends[offsets]
