@@ -113,10 +113,18 @@ def decimal_double(c: Column) -> Column:
     return c.cast("double")
 
 
+def bad_byte(c: Column) -> Column:
+    """Where (from 1) the first byte stands that isn't UTF-8 or is a NUL; looked for only in a text that has one."""
+    raw, valid = c.cast("binary"), F.make_valid_utf8(c).cast("binary")
+    same = lambda i: F.hex(F.substring(raw, i, F.lit(1))) == F.hex(F.substring(valid, i, F.lit(1)))
+    good = F.aggregate(F.sequence(F.lit(1), F.octet_length(raw)), F.lit(0), lambda n, i: F.when((n == i - 1) & same(i), i).otherwise(n))
+    return F.when(F.is_valid_utf8(c), F.octet_length(F.substring_index(c, "\0", 1))).otherwise(good) + 1
+
+
 def text(c: Column, name: str, row: Column | None = None) -> Column:
-    """The text, or an error that names column and row if its bytes aren't UTF-8 or hold a NUL."""
-    where = F.concat(F.lit(f"{name}: invalid UTF-8 or a NUL byte in row "), (row + 1).cast("string") if row is not None else F.lit("?"))
-    return F.when(F.is_valid_utf8(c) & ~F.contains(c, F.lit("\0")), c).when(c.isNotNull(), F.raise_error(where).cast("string"))
+    """The text, or an error that names column, row and byte if its bytes aren't UTF-8 or hold a NUL."""
+    at = F.concat(F.lit(f"{name}: invalid UTF-8 or a NUL byte in row "), (row + 1).cast("string") if row is not None else F.lit("?"), F.lit(", byte "), bad_byte(c).cast("string"))
+    return F.when(F.is_valid_utf8(c) & ~F.contains(c, F.lit("\0")), c).when(c.isNotNull(), F.raise_error(at).cast("string"))
 
 
 def convert(row: PlanRow, leaf: Leaf, c: Column, *, validate_text: bool = False, row_index: Column | None = None) -> Column:

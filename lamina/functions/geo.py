@@ -69,7 +69,7 @@ def walk(raw: bytes) -> tuple[list[float], int]:
                 at = points(size, at, order, dims)
         return at, kind + 1000 * (z + 2 * m)
 
-    end, code = geometry(0, 1)
+    end, code = geometry(0, 0)
     if end != len(raw):
         raise Invalid("bytes follow the geometry")
     return [x if math.isfinite(x) else math.nan for pair in zip(low, high, strict=True) for x in pair], code

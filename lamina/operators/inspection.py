@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime
 import struct
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions import geo
 from lamina.plans.types import Leaf
-from lamina.sources.footer import bound, opened
+from lamina.sources.compact import get
+from lamina.sources.footer import ENCRYPTED, MAGIC, FooterError, bound, fetched, hadoop, opened, read_footer, tree_of
 from lamina.sources.scan import ParquetFile
 
 #: A bound in the type that its physical type has; at most one field is set.
@@ -36,11 +37,10 @@ def column_chunks(f: ParquetFile) -> DataFrame:
 def column_statistics(f: ParquetFile) -> DataFrame:
     """Bounds are physical: timestamps and decimals unscaled, text only where it is annotated and valid.
 
-    distinct_count is null: the JVM library doesn't hand it out.  Zero-length
-    bounds count as absent.
+    Zero-length bounds count as absent.
     """
     leaves = f.footer.leaves
-    rows = [(c.row_group, c.column, c.path, c.num_values, c.null_count, None, bound(c.min or None, leaves[c.column - 1]), bound(c.max or None, leaves[c.column - 1])) for c in f.footer.chunks]
+    rows = [(c.row_group, c.column, c.path, c.num_values, c.null_count, c.distinct_count, bound(c.min, leaves[c.column - 1]), bound(c.max, leaves[c.column - 1])) for c in f.footer.chunks]
     return f.spark.createDataFrame(rows, f"row_group int, column int, path string, num_values long, null_count long, distinct_count long, min {BOUND}, max {BOUND}")
 
 
@@ -48,14 +48,15 @@ def page_index(f: ParquetFile) -> DataFrame:
     """One row for each page that an index describes; a side that is missing leaves its columns null."""
     rows = []
     leaves = f.footer.leaves
+    wrap = f.spark._jvm.org.apache.parquet.io.api.Binary.fromConstantByteBuffer
+    plain = lambda buffer: bytes(wrap(buffer).getBytes())  # noqa: E731  one call for a whole bound
     with opened(f.spark, f.path) as reader:
         for g, block in enumerate(reader.getFooter().getBlocks(), 1):
             for i, chunk in enumerate(block.getColumns()):
                 columns, offsets = reader.readColumnIndex(chunk), reader.readOffsetIndex(chunk)
                 nulls = list(columns.getNullCounts() or []) if columns is not None else []
                 empty = list(columns.getNullPages()) if columns is not None else []
-                lows = [_bytes(x) for x in columns.getMinValues()] if columns is not None else []
-                highs = [_bytes(x) for x in columns.getMaxValues()] if columns is not None else []
+                lows, highs = (list(map(plain, side)) for side in ((columns.getMinValues(), columns.getMaxValues()) if columns is not None else ((), ())))
                 pages = offsets.getPageCount() if offsets is not None else len(empty)
                 for p in range(pages):
                     null_page = bool(empty[p]) if p < len(empty) else None
@@ -78,41 +79,37 @@ def page_index(f: ParquetFile) -> DataFrame:
     return f.spark.createDataFrame(rows, f"row_group int, column int, path string, page int, first_row long, offset long, compressed_bytes int, null_count long, null_page boolean, min {BOUND}, max {BOUND}")
 
 
-def _bytes(buffer) -> bytes:
-    out = bytearray(buffer.remaining())
-    for i in range(len(out)):
-        out[i] = buffer.get(buffer.position() + i) & 255
-    return bytes(out)
-
-
 def metadata(f: ParquetFile) -> DataFrame:
-    """``key, value`` of the footer, by key; of a repeated key the JVM library keeps one."""
+    """``key, value`` of the footer, in its order; keys may repeat, values be absent."""
     return f.spark.createDataFrame([tuple(x) for x in f.footer.metadata], "key string, value string")
 
 
+def sorting(f: ParquetFile) -> DataFrame:
+    """``row_group, position, column, path, descending, nulls_first``: the order that each row group declares."""
+    rows = [(g.row_group, i, c, f.footer.leaves[c - 1].path, d, n) for g in f.footer.row_groups for i, (c, d, n) in enumerate(g.sorting, 1)]
+    return f.spark.createDataFrame(rows, "row_group int, position int, column int, path string, descending boolean, nulls_first boolean")
+
+
+GEOSPATIAL = "row_group int, column int, path string, " + ", ".join(f"{b} double" for b in geo.BOX) + ", geometry_types array<int>"
+
+
 def geospatial_statistics(f: ParquetFile, columns: Sequence[str] | None = None) -> DataFrame:
-    """Bounding box and geometry types of each row group and geospatial column.
+    """Bounding box and geometry types of each row group and geospatial column, as the footer has them.
 
-    Spark's writer doesn't mark geometry columns, so WKB columns may be named in
-    ``columns``.  The box and the types are computed from the values, by row
-    group, partially aggregated before the shuffle.
+    There is a row for each, also where the footer says nothing.  Columns of
+    well-known binary that aren't marked as geospatial may be named in
+    ``columns``; theirs are computed from the values, by row group, partially
+    aggregated before the shuffle.
     """
-    leaves = f.footer.leaves
-    marked = [x for x in leaves if x.logical_type in ("GEOMETRY", "GEOGRAPHY")]
-    wanted = [x for x in leaves if x.path in set(columns)] if columns is not None else marked
-    out = None
-    for leaf in wanted:
-        rows = [r for r in f.plan() if r.column == leaf.column]
-        numbered = f.raw(rows)
-        at, group = F.col("_metadata.row_index"), F.lit(None).cast("int")
-        for g in f.footer.row_groups:
-            group = F.when((at >= g.first_row) & (at < g.first_row + g.rows), F.lit(g.row_group)).otherwise(group)
-        own = geo.statistics(numbered.select(group.alias("row_group"), F.col(f"`{leaf.path}`").alias("wkb")), ["row_group"], box=leaf.logical_type != "GEOGRAPHY")
+    marked = [x for x in f.footer.leaves if x.logical_type in ("GEOMETRY", "GEOGRAPHY") and (columns is None or x.path in columns)]
+    numbers = {x.column for x in marked}
+    rows = [(c.row_group, c.column, c.path, *(c.box or [None] * 8), list(c.geometry_types) if c.geometry_types is not None else None) for c in f.footer.chunks if c.column in numbers]
+    out = f.spark.createDataFrame(rows, GEOSPATIAL)
+    for leaf in [x for x in f.footer.leaves if columns is not None and x.path in columns and x.column not in numbers]:
+        values = f.raw([r for r in f.plan() if r.column == leaf.column])
+        own = geo.statistics(values.select((f.group_index() + 1).cast("int").alias("row_group"), F.col(f"`{leaf.path}`").alias("wkb")), ["row_group"])
         groups = f.spark.createDataFrame([(g.row_group,) for g in f.footer.row_groups], "row_group int")
-        own = groups.join(own, "row_group", "left").select("row_group", F.lit(leaf.column).alias("column"), F.lit(leaf.path).alias("path"), *geo.BOX, "geometry_types")
-        out = own if out is None else out.unionAll(own)
-    if out is None:
-        return f.spark.createDataFrame([], "row_group int, column int, path string, " + ", ".join(f"{b} double" for b in geo.BOX) + ", geometry_types array<int>")
+        out = out.unionAll(groups.join(own, "row_group", "left").select("row_group", F.lit(leaf.column).alias("column"), F.lit(leaf.path).alias("path"), *geo.BOX, "geometry_types"))
     return out
 
 
@@ -170,41 +167,40 @@ def bloom_filter_may_contain(f: ParquetFile, column: str, values: Sequence, row_
         return [None if p is None else bool(found.findHash(found.hash(binary.fromConstantByteArray(p)))) for p in plain]
 
 
-def validate_parquet(spark: SparkSession, path: str) -> bool:
-    """True, or a ValueError with the first problem: directory, size, encryption, markers, footer, row counts.
+def _declared(spark: SparkSession, path: str) -> Iterator[tuple[str, bool]]:
+    """What a whole file must be, in the order in which it is looked at: what is wrong otherwise, and whether it holds.
 
-    Data pages aren't read.
+    Each is asked only if all before it hold.
     """
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(at):
-        raise ValueError(f"no file at {path}")
+    fs, at = hadoop(spark, path)
+    yield f"no file at {path}", fs.exists(at)
     status = fs.getFileStatus(at)
-    if status.isDirectory():
-        raise ValueError(f"{path} is a directory")
+    yield f"{path} is a directory", not status.isDirectory()
     size = status.getLen()
-    if size < 12:
-        raise ValueError(f"{path}: {size} bytes are too few for a Parquet file")
-    stream = fs.open(at)
-    try:
-        head = bytes(stream.read() & 255 for _ in range(4))
-        stream.seek(size - 4)
-        tail = bytes(stream.read() & 255 for _ in range(4))
-    finally:
-        stream.close()
-    if b"PARE" in (head, tail):
-        raise ValueError("the footer is encrypted")
-    if head != b"PAR1":
-        raise ValueError("no marker at the start: not a Parquet file")
-    if tail != b"PAR1":
-        raise ValueError("no marker at the end: cut off, or not written out yet")
+    yield f"{path}: {size} bytes are too few for a Parquet file", size >= 12
+    ends = fetched(spark, path, 0, 4), fetched(spark, path, size - 4, 4)
+    yield "the footer is encrypted", ENCRYPTED not in ends
+    for mark, where in zip(ends, ("its start", "its end; it may be cut off, or not written out"), strict=True):
+        yield f"no Parquet marker at {where}", mark == MAGIC
     try:
-        f = ParquetFile(spark, path)
-        with opened(spark, path) as reader:
-            declared = reader.getRecordCount()
-    except Exception as e:
-        raise ValueError(f"both markers are there, but the footer can't be parsed: {str(e).splitlines()[0]}") from e
-    if f.footer.row_groups and f.footer.rows != declared:
-        raise ValueError(f"the footer counts {declared} rows, its row groups {f.footer.rows}")
+        tree, body = tree_of(spark, path)
+        f = read_footer(spark, path)
+    except FooterError as e:
+        yield f"both markers are there, but {e}", False
+        return
+    yield f"{f.declared_rows} rows are declared, {f.rows} are in row groups", f.declared_rows == f.rows
+    leaves = len(f.leaves)
+    for g, group in enumerate(get(tree, 4, (0, []))[1], 1):
+        n = len(get(group, 1)[1])
+        yield f"row group {g} has {n} column chunks for {leaves} columns", n == leaves
+        for c in (get(x, 3, {}) for x in get(group, 1)[1]):
+            start = min(x for x in (get(c, 9), get(c, 11)) if x)
+            yield f"row group {g}: a column chunk lies outside the data", 4 <= start and start + get(c, 7, 0) <= body
+
+
+def validate_parquet(spark: SparkSession, path: str) -> bool:
+    """True, or a ValueError with the first problem of the file's structure.  Data pages aren't read."""
+    for problem, holds in _declared(spark, path):
+        if not holds:
+            raise ValueError(problem)
     return True

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import logging
 import re
+import urllib.request
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 import pyarrow as pa
@@ -16,13 +19,46 @@ from pyspark.sql import types as T
 from lamina.functions import converters
 from lamina.plans.plan import PlanRow, ReadOptions, build_plan, plan_frame
 from lamina.plans.types import Leaf
-from lamina.sources.footer import Footer, bound, read_footer
+from lamina.session import run_dir
+from lamina.sources.footer import Footer, bound, hadoop, read_footer
 
 log = logging.getLogger("lamina")
-#: Schemes whose files Spark fetches to every node; any Hadoop file system is read in place.
+#: Schemes whose files are copied into the shared folder; any Hadoop file system is read in place.
 DOWNLOADED = re.compile(r"^(https?|ftps?)://", re.I)
 
 
+#: Ranges of rows that a selection of row groups is written out as; more are looked up.
+RANGES = 16
+#: Bytes of values that a walk fetches at a time.
+SPAN = 64 << 20
+PLACE = "_row_index"
+
+
+def numbers(values) -> F.Column:
+    """A constant array of whole numbers, however many, made by one expression."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def downloaded(spark: SparkSession, url: str) -> str:
+    """A copy of the file in the shared folder, where executors can read it."""
+    log.info("downloading %s", url)
+    name = re.sub(r"[^A-Za-z0-9._-]", "_", url.split("?")[0].rstrip("/").rsplit("/", 1)[-1])
+    path = f"{run_dir(spark)}/downloads/{uuid.uuid4().hex}/{name}"
+    fs, at = hadoop(spark, path)
+    try:
+        with urllib.request.urlopen(url) as source:
+            out = fs.create(at, True)
+            try:
+                while piece := source.read(8 << 20):
+                    out.write(piece)
+            finally:
+                out.close()
+    except BaseException:
+        fs.delete(at, False)
+        raise
+    return path
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -30,21 +66,15 @@ def quoted(name: str) -> str:
 class ParquetFile:
     """An open Parquet file: its footer, and lazy reads of its data.
 
-    Nothing stays open between calls; closing is only a courtesy.  ``checksums``
-    makes the reader verify pages.
+    Nothing stays open between calls; closing only ends the handle, and removes
+    what was downloaded for it.  ``checksums`` makes the reader verify pages.
     """
 
     def __init__(self, spark: SparkSession, path: str, checksums: bool = True):
         if not isinstance(path, str) or not path:
             raise ValueError("expected a file's path")
         self.spark, self.asked, self.checksums, self.closed = spark, path, checksums, False
-        if DOWNLOADED.match(path):
-            log.info("downloading %s", path)
-            spark.sparkContext.addFile(path)
-            from pyspark import SparkFiles
-
-            path = "file://" + SparkFiles.get(path.rstrip("/").rsplit("/", 1)[-1])
-        self.path = path
+        self.path = downloaded(spark, path) if DOWNLOADED.match(path) else path
         self.footer  # noqa: B018  a file that can't be read fails here
 
     @cached_property
@@ -52,8 +82,16 @@ class ParquetFile:
         return read_footer(self.spark, self.path)
 
     def close(self) -> None:
+        """Ends the handle; may be called again.  Tables that it gave stay readable, unless the file was downloaded for it."""
+        if not self.closed and self.path != self.asked:
+            fs, at = hadoop(self.spark, self.path)
+            fs.delete(at, False)
         self.closed = True
 
+    def still_open(self) -> None:
+        if self.closed:
+            raise ValueError(f"{self.asked} is closed")
+
     def __enter__(self) -> ParquetFile:
         return self
 
@@ -110,7 +148,8 @@ class ParquetFile:
         return sorted(wanted)
 
     def raw(self, rows: list[PlanRow], row_groups: Sequence[int] | None = None, keep: Sequence = ()) -> DataFrame:
-        """The chosen columns as Spark reads them, with the file's row index if it is needed."""
+        """The chosen columns as Spark reads them, of the chosen row groups."""
+        self.still_open()
         wanted = self.groups(row_groups)
         leaves = self.footer.leaves
         fields = [T.StructField(r.path, converters.read_type(leaves[r.column - 1]), True) for r in rows]
@@ -124,18 +163,36 @@ class ParquetFile:
             fields.append(T.StructField(around[0].path, converters.read_type(around[0]), True))
         df = self.reader([r.path for r in rows]).read.option("parquet.page.verify-checksum.enabled", str(self.checksums).lower()).schema(T.StructType(fields)).parquet(self.path)
         if wanted is not None:
-            bounds = [(g.first_row, g.first_row + g.rows) for g in self.footer.row_groups if g.row_group in wanted]
-            merged: list[list[int]] = []
-            for a, b in bounds:
-                if merged and merged[-1][1] == a:
-                    merged[-1][1] = b
-                else:
-                    merged.append([a, b])
-            df = df.where(" OR ".join(f"(_metadata.row_index >= {a} AND _metadata.row_index < {b})" for a, b in merged) or "false")
+            df = df.where(self.within(wanted))
             if around:
                 df = df.where(F.col(quoted(around[0].path)).between(*around[1:]))
         return df
 
+    def within(self, wanted: list[int]) -> F.Column:
+        """Whether a row is in one of the wanted row groups: by ranges of the row index if they are few, else by a look-up."""
+        chosen = set(wanted)
+        merged: list[list[int]] = []
+        for g in self.footer.row_groups:
+            if g.row_group in chosen and g.rows:
+                if merged and merged[-1][1] == g.first_row:
+                    merged[-1][1] = g.first_row + g.rows
+                else:
+                    merged.append([g.first_row, g.first_row + g.rows])
+        if len(merged) > RANGES:
+            return F.get(numbers(int(g.row_group in chosen) for g in self.footer.row_groups), self.group_index()) == 1
+        return F.expr(" OR ".join(f"(_metadata.row_index >= {a} AND _metadata.row_index < {b})" for a, b in merged) or "false")
+
+    def group_index(self) -> F.Column:
+        """The row group of each row, from 0: by division where the groups are even, else by a binary search of their first rows."""
+        at, groups = F.col("_metadata.row_index"), self.footer.row_groups
+        sizes = [g.rows for g in groups]
+        if len(set(sizes[:-1])) <= 1 and (len(sizes) < 2 or 0 < sizes[-1] <= sizes[0]):
+            return F.floor(at / F.lit(max(1, sizes[0] if sizes else 1))).cast("int")
+        starts = numbers(g.first_row for g in groups)
+        steps = F.lit([1 << i for i in range(len(groups).bit_length(), -1, -1)])
+        # Of empty groups that begin with the same row the last is taken, which is the one that has it.
+        return F.aggregate(steps, F.lit(0), lambda i, s: F.when(F.get(starts, i + s) <= at, i + s).otherwise(i))
+
     def bounds_of(self, wanted: list[int]) -> tuple[Leaf, int, int] | None:
         """A column and a range that holds for every row of the wanted groups, and for few other groups.
 
@@ -171,14 +228,14 @@ class ParquetFile:
         own.conf.set("spark.sql.parquet.enableVectorizedReader", "false")
         return own
 
-    def collect(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, *, int64: str = "double", time: str = "numeric", tz: str = "UTC", where: str | None = None, where_columns: Sequence[str] = (), validate_text: bool = True, ordered: bool = False, verbose: bool = False) -> DataFrame:
+    def collect(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, *, int64: str = "double", time: str = "numeric", tz: str = "UTC", where: str | None = None, where_columns: Sequence[str] = (), validate_text: bool = True, ordered: bool = False, verbose: bool = False, numbered: bool = False) -> DataFrame:
         """A lazy DataFrame of the chosen columns, converted as the plan says.
 
         ``where`` is a filter over the columns as stored; unlike one over the
         result it reaches the Parquet reader under every conversion.  Columns
         that only it uses are named in ``where_columns``.  ``ordered`` sorts by
-        the row's place in the file.  ``validate_text=False`` skips the check of
-        text for invalid UTF-8.
+        the row's place in the file, ``numbered`` adds it as a column.
+        ``validate_text=False`` skips the check of text for invalid UTF-8.
         """
         options = ReadOptions(int64, time, tz)
         plan = self.plan(options)
@@ -193,7 +250,7 @@ class ParquetFile:
         texts = validate_text and any(r.converter == "text" for r in rows)
         row_index = F.col("_metadata.row_index") if texts else None
         leaves = self.footer.leaves
-        out = df.select(*[converters.convert(r, leaves[r.column - 1], F.col(quoted(r.path)), validate_text=validate_text, row_index=row_index).alias(r.path) for r in rows])
+        out = df.select(*[converters.convert(r, leaves[r.column - 1], F.col(quoted(r.path)), validate_text=validate_text, row_index=row_index).alias(r.path) for r in rows], *([F.col("_metadata.row_index").alias(PLACE)] if numbered else []))
         if verbose:
             n = len(self.groups(row_groups) or []) if row_groups is not None else len(self.footer.row_groups)
             log.warning("%d rows; %d of %d columns; %d of %d row groups\n%s", self.dim[0], len(rows), self.dim[1], n, len(self.footer.row_groups), "\n".join(f"  {r.path}: {r.physical_type} {r.logical_type or ''} -> {r.r_type} ({r.converter})" for r in rows))
@@ -211,25 +268,58 @@ class ParquetFile:
         return counts.select(pairs.alias("x")).select("x.path", "x.lost").where("lost > 0")
 
     def batches(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, batch_size: int = 65_536, **options) -> Iterator[pa.Table]:
-        """Batches of at most ``batch_size`` rows in file order, none across row groups; memory holds one row group."""
+        """Batches of at most ``batch_size`` rows in file order, none across row groups.
+
+        Row groups are fetched in spans of about ``SPAN`` bytes, one job each;
+        the next span is read while this one is walked, so that memory holds two.
+        """
+        self.still_open()
         if not isinstance(batch_size, int) or batch_size < 1:
             raise ValueError("batch_size: expected a whole number of rows")
         wanted = self.groups(row_groups)
-        for g in self.footer.row_groups:
-            if wanted is None or g.row_group in wanted:
-                df = self.collect(columns, [g.row_group], ordered=True, **options)
-                if not df.columns:
-                    yield from (pa.table({"_": pa.nulls(min(batch_size, g.rows - i))}).select([]) for i in range(0, g.rows, batch_size))
-                    continue
-                whole = df.toArrow()
-                yield from (whole.slice(i, batch_size) for i in range(0, whole.num_rows, batch_size))
+        groups = [g for g in self.footer.row_groups if wanted is None or g.row_group in set(wanted)]
+        plan = self.plan(ReadOptions(**{k: v for k, v in options.items() if k in ("int64", "time", "tz")}))
+        chosen = {r.column for r in self.selected(columns, plan)}
+        if not chosen:
+            for g in groups:
+                yield from (pa.table({"_": pa.nulls(min(batch_size, g.rows - i))}).select([]) for i in range(0, g.rows, batch_size))
+            return
+        size = {g.row_group: 0 for g in groups}
+        for c in self.footer.chunks:
+            if c.column in chosen and c.row_group in size:
+                size[c.row_group] += c.uncompressed_bytes
+        spans: list[list] = []
+        room = 0
+        for g in groups:
+            if not spans or room + size[g.row_group] > SPAN:
+                spans.append([])
+                room = 0
+            spans[-1].append(g)
+            room += size[g.row_group]
+
+        def fetch(span: list) -> pa.Table:
+            numbers = [g.row_group for g in span]
+            whole = self.collect(columns, None if len(numbers) == len(self.footer.row_groups) else numbers, numbered=True, **options).toArrow()
+            place = whole.column(PLACE).to_numpy()
+            if (place[1:] < place[:-1]).any():  # tasks of one file come in its order, but nothing promises that
+                whole = whole.take(pa.array(place.argsort()))
+            return whole.drop_columns([PLACE])
+
+        with ThreadPoolExecutor(1) as ahead:
+            coming = ahead.submit(fetch, spans[0]) if spans else None
+            for i, span in enumerate(spans):
+                whole, coming = coming.result(), ahead.submit(fetch, spans[i + 1]) if i + 1 < len(spans) else None
+                at = 0
+                for g in span:
+                    yield from (whole.slice(at + k, min(batch_size, g.rows - k)) for k in range(0, g.rows, batch_size))
+                    at += g.rows
 
     def walk_batches(self, fun: Callable[[pa.Table, int], object], columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, batch_size: int = 65_536, **options) -> None:
         """Calls ``fun(batch, index)`` with each batch, index from 1; what it returns is dropped."""
         for index, batch in enumerate(self.batches(columns, row_groups, batch_size, **options), 1):
             fun(batch, index)
 
-    def numbered_batches(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, batch_size: int = 65_536, **options) -> DataFrame:
+    def numbered_batches(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, batch_size: int = 65_536, *, validate_text: bool = True, **options) -> DataFrame:
         """The rows with ``_row_group`` and ``_batch`` (from 1, in file order): the distributed form of a walk.
 
         Group by ``_batch`` and apply a function to each; no batch crosses a row
@@ -237,19 +327,17 @@ class ParquetFile:
         """
         if not isinstance(batch_size, int) or batch_size < 1:
             raise ValueError("batch_size: expected a whole number of rows")
-        wanted = self.groups(row_groups)
+        chosen = set(self.groups(row_groups) or [g.row_group for g in self.footer.row_groups] if row_groups is None else self.groups(row_groups))
         rows = self.selected(columns, self.plan(ReadOptions(**options)))
         leaves = self.footer.leaves
-        at = F.col("_metadata.row_index")
-        group, batch, before = F.lit(None).cast("int"), F.lit(None).cast("long"), 0
+        before, total = [], 0
         for g in self.footer.row_groups:
-            if wanted is None or g.row_group in wanted:
-                inside = (at >= g.first_row) & (at < g.first_row + g.rows)
-                group = F.when(inside, F.lit(g.row_group)).otherwise(group)
-                batch = F.when(inside, F.floor((at - g.first_row) / batch_size) + before + 1).otherwise(batch)
-                before += -(-g.rows // batch_size)
-        df = self.raw(rows, row_groups)
-        return df.select(group.alias("_row_group"), batch.alias("_batch"), *[converters.convert(r, leaves[r.column - 1], F.col(quoted(r.path))).alias(r.path) for r in rows])
+            before.append(total)
+            total += -(-g.rows // batch_size) if g.row_group in chosen else 0
+        at, index = F.col("_metadata.row_index"), self.group_index()
+        batch = F.floor((at - F.get(numbers(g.first_row for g in self.footer.row_groups), index)) / batch_size) + F.get(numbers(before), index) + 1
+        values = [converters.convert(r, leaves[r.column - 1], F.col(quoted(r.path)), validate_text=validate_text, row_index=at).alias(r.path) for r in rows]
+        return self.raw(rows, row_groups).select((index + 1).cast("int").alias("_row_group"), batch.alias("_batch"), *values)
 
 
 def open_parquet(spark: SparkSession, path: str, verify_checksums: bool = True) -> ParquetFile:
@@ -257,9 +345,8 @@ def open_parquet(spark: SparkSession, path: str, verify_checksums: bool = True)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, **options) -> DataFrame:
-    """Opens, collects and closes."""
-    with ParquetFile(spark, path) as f:
-        return f.collect(columns, row_groups, **options)
+    """Opens and collects.  A downloaded copy stays for the lazy table; clear_shared() removes it."""
+    return ParquetFile(spark, path).collect(columns, row_groups, **options)
 
 
 def read_plan(spark: SparkSession, x, *, int64: str = "double", time: str = "numeric", tz: str = "UTC") -> DataFrame:

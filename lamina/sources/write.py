@@ -11,17 +11,24 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.classic.dataframe import DataFrame as ClassicDataFrame
 
-from lamina.plans.write_schema import SchemaError, WriteField, checked_names, column, resolve, spark_type
-from lamina.sources.footer import read_footer
-from lamina.sources.scan import DOWNLOADED
+from lamina.functions import converters, geo
+from lamina.plans.types import Leaf
+from lamina.plans.write_schema import SchemaError, WriteField, absent, checked_names, column, frame, guarded, resolve
+from lamina.sources import compact
+from lamina.sources.footer import ALGORITHMS, BOX, copy_with_footer, hadoop, read_footer, tree_of
+from lamina.sources.scan import DOWNLOADED, open_parquet
 
 #: Names of this API -> Spark's; lz4 means the format's LZ4_RAW, not the deprecated framing.
 CODECS = {"snappy": "snappy", "zstd": "zstd", "gzip": "gzip", "lz4": "lz4_raw", "uncompressed": "uncompressed"}
 #: A value of each type that can be written.
 NEVER = {"boolean": False, "int": 0, "bigint": 0, "float": 0.0, "double": 0.0, "string": "", "binary": b"", "date": datetime.date(1970, 1, 1), "timestamp": datetime.datetime(1970, 1, 1)}
-#: Field metadata keys under which a file carries what Spark's writer has no place for.
-NOTES, SORTED, LOGICAL = "lamina.metadata", "lamina.sorted_by", "lamina.logical_type"
+#: Field metadata key under which files of a dataset carry a sort order; a single file has it in its footer.
+SORTED = "lamina.sorted_by"
+SPARKS_OWN = "org.apache.spark."
+#: Names the keys that were given without a value: Spark's reader fails on files that have such, so they get an empty one.
+VALUELESS = "lamina.keys_without_value"
 
 
 def checked_metadata(metadata) -> list[tuple[str, str | None]]:
@@ -69,88 +76,159 @@ def checked_rows(row_group_size) -> int | None:
 
 
 def cast(df: DataFrame, fields: list[WriteField], notes: dict) -> DataFrame:
-    """The columns as declared, with their nullability and notes in the schema."""
+    """The columns as declared, guarded against bad values, with their nullability and notes in the schema."""
     chosen = []
     for i, w in enumerate(fields):
-        c, kind, now = column(w.name), spark_type(w), df.schema[w.name]
-        if isinstance(kind, T.DateType) and not isinstance(now.dataType, T.DateType):
-            c = F.date_from_unix_date(c.cast("int"))
-        elif not isinstance(now.dataType, type(kind)):
-            c = c.cast(kind)
+        c = guarded(w, df.schema[w.name].dataType)
+        now = df.select(c.alias("c")).schema["c"]
         if w.repetition_type == "REQUIRED" and now.nullable:
             # The last value is never reached; it tells Catalyst that there are no nulls.
-            c = F.coalesce(c, F.raise_error(f"{w.name}: declared REQUIRED, but it has nulls").cast(kind), F.lit(NEVER[kind.simpleString()]).cast(kind))
+            kind = now.dataType.simpleString()
+            never = F.lit(NEVER[kind]) if kind in NEVER else F.lit(0) if isinstance(now.dataType, T.DecimalType) else F.lit("1970-01-01 00:00:00")
+            c = F.coalesce(c, F.raise_error(absent(w)).cast(now.dataType), never.cast(now.dataType))
         elif w.repetition_type == "OPTIONAL" and not now.nullable:
             c = F.try_element_at(F.create_map(F.lit(0), c), F.lit(0))  # may be null, as far as Catalyst can tell
-        about = dict(notes) if i == 0 else {}
-        if w.logical_type in ("GEOMETRY", "GEOGRAPHY"):
-            about[LOGICAL] = f"{w.logical_type}({w.logical_details})"
-        chosen.append(c.alias(w.name, metadata=about))
+        chosen.append(c.alias(w.name, metadata=dict(notes) if i == 0 else {}))
     return df.select(*chosen)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+def in_unit(df: DataFrame, unit: str | None) -> DataFrame:
+    """``df`` in a copy of its session that writes timestamps in ``unit``; the session itself keeps its settings."""
+    if unit is None:
+        return df
+    spark = df.sparkSession
+    own = spark._jsparkSession.cloneSession()
+    own.conf().set("spark.sql.parquet.outputTimestampType", f"TIMESTAMP_{unit}")
+    plan = df._jdf.queryExecution().analyzed()
+    return ClassicDataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(own, plan), SparkSession(spark.sparkContext, own))
+
+
+def annotated(tree: dict, fields: list[WriteField], pairs: list[tuple[str, str | None]], keys: list[dict], statistics: dict[tuple[int, int], tuple]) -> dict:
+    """The footer's tree with what Spark's writer has no place for: keys, sort order, geospatial annotations and statistics."""
+    text = lambda s: (compact.BINARY, s.encode())
+    out = dict(tree)
+    if pairs:
+        bare = [i for i, (_, v) in enumerate(pairs) if v is None]
+        more = [{1: text(k), 2: text(v or "")} for k, v in [*pairs, *([(VALUELESS, json.dumps(bare))] if bare else [])]]
+        out[5] = (compact.LIST, (compact.STRUCT, compact.get(tree, 5, (0, []))[1] + more))
+    marked = {i: w for i, w in enumerate(fields) if w.logical_type in ("GEOMETRY", "GEOGRAPHY")}
+    if marked:
+        elements = list(compact.get(tree, 2)[1])
+        for i, w in marked.items():
+            about = dict(x.split("=", 1) for x in w.logical_details.split(", "))
+            kind = {1: text(about["crs"])}
+            if w.logical_type == "GEOGRAPHY":
+                kind[2] = (compact.I32, ALGORITHMS.index(about["algorithm"]))
+            elements[i + 1] = elements[i + 1] | {10: (compact.STRUCT, {17 if w.logical_type == "GEOMETRY" else 18: (compact.STRUCT, kind)})}
+        out[2] = (compact.LIST, (compact.STRUCT, elements))
+    names = [w.name for w in fields]
+    order = [{1: (compact.I32, names.index(k["name"])), 2: (compact.TRUE, k["descending"]), 3: (compact.TRUE, k["nulls_first"])} for k in keys]
+    groups = []
+    for g, group in enumerate(compact.get(tree, 4, (0, []))[1], 1):
+        group = dict(group)
+        if order:
+            group[4] = (compact.LIST, (compact.STRUCT, order))
+        chunks = list(group[1][1][1])
+        for i in marked:
+            # The order of such bytes is undefined, so they have no bounds; what they have instead is a box.
+            meta = dict(compact.get(chunks[i], 3))
+            meta[12] = (compact.STRUCT, {k: v for k, v in compact.get(meta, 12, {}).items() if k == 3})
+            box, kinds = statistics.get((g, i), (None, None))
+            found = {}
+            if box is not None:
+                found[1] = (compact.STRUCT, {n + 1: (compact.DOUBLE, v) for n, v in enumerate(box) if v is not None})
+            if kinds is not None:
+                found[2] = (compact.LIST, (compact.I32, list(kinds)))
+            if found:
+                meta[17] = (compact.STRUCT, found)
+            chunks[i] = chunks[i] | {3: (compact.STRUCT, meta)}
+        group[1] = (compact.LIST, (compact.STRUCT, chunks))
+        groups.append(group)
+    out[4] = (compact.LIST, (compact.STRUCT, groups))
+    return out
 
 
-def _written(df: DataFrame, path: str, compression: str, row_group_size: int | None, unit: str, bloom: Sequence[str] = ()) -> None:
-    """Writes ``df`` as one file: into a folder beside it, then in its place by one rename."""
+def _geospatial(spark: SparkSession, path: str, fields: list[WriteField]) -> dict[tuple[int, int], tuple]:
+    """(box, types) of each row group and geospatial column of a file that has been written."""
+    found = {}
+    f = open_parquet(spark, path)
+    for i, w in enumerate(fields):
+        if w.logical_type in ("GEOMETRY", "GEOGRAPHY"):
+            rows = f.raw([r for r in f.plan() if r.path == w.name]).select((f.group_index() + 1).alias("row_group"), column(w.name).alias("wkb"))
+            for r in geo.statistics(rows, ["row_group"], box=w.logical_type == "GEOMETRY").collect():  # a row for each row group
+                box = tuple(r[b] for b in BOX) if r.xmin is not None else None
+                found[r.row_group, i] = (box, r.geometry_types)
+    return found
+
+
+def _written(df: DataFrame, path: str, compression: str, row_group_size: int | None, fields: list[WriteField], pairs: list, keys: list[dict], bloom: Sequence[str] = ()) -> None:
+    """Writes ``df`` as one file: into a folder beside it, then in its place.
+
+    Where the footer is to say more than Spark's does, the finished file is
+    copied once with another footer.  The file system's renames aren't atomic
+    exchanges: where a file is replaced there is a moment without one.
+    """
     spark = df.sparkSession
-    fs, at = _hadoop(spark, path)
+    fs, at = hadoop(spark, path)
     folder = f"{at.getParent()}/.{at.getName()}-{uuid.uuid4().hex}"
-    writer = df.coalesce(1).write.option("compression", CODECS[compression])
+    writer = in_unit(df.coalesce(1), _unit(fields)).write.option("compression", CODECS[compression])
     if row_group_size:
         writer = writer.option("parquet.block.row.count.limit", row_group_size)
     for name in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
-    key = "spark.sql.parquet.outputTimestampType"
-    was = spark.conf.get(key)
-    _, temporary = _hadoop(spark, folder)
+    _, temporary = hadoop(spark, folder)
     try:
-        spark.conf.set(key, f"TIMESTAMP_{unit}")
         writer.parquet(folder)
         parts = [s.getPath() for s in fs.listStatus(temporary) if s.getPath().getName().startswith("part-")]
         if len(parts) != 1:
             raise RuntimeError(f"expected one part file in {folder}, found {len(parts)}")
+        done = parts[0]
+        if pairs or keys or any(w.logical_type in ("GEOMETRY", "GEOGRAPHY") for w in fields):
+            source, target = done.toString(), f"{folder}/whole.parquet"
+            tree, body = tree_of(spark, source)
+            copy_with_footer(spark, source, target, annotated(tree, fields, pairs, keys, _geospatial(spark, source, fields)), body)
+            done = spark._jvm.org.apache.hadoop.fs.Path(target)
         # The old file gives way only now that the new one is whole.
         spare = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}-old")
         had = fs.exists(at)
         if had and not fs.rename(at, spare):
             raise OSError(f"can't replace {path}")
-        if not fs.rename(parts[0], at):
+        if not fs.rename(done, at):
             if had:
                 fs.rename(spare, at)
             raise OSError(f"can't write {path}")
         if had:
             fs.delete(spare, True)
-        for n in (at.getName(), parts[0].getName()):  # checksums that belong to the old name
+        for n in (at.getName(), done.getName()):  # checksums that belong to the old name
             fs.delete(spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{n}.crc"), False)
     finally:
-        spark.conf.set(key, was)
         fs.delete(temporary, True)
 
 
-def _unit(fields: list[WriteField]) -> str:
-    units = {w.logical_details.split("=")[1].split(",")[0] for w in fields if w.logical_type == "TIMESTAMP"}
+def _unit(fields: list[WriteField]) -> str | None:
+    """The unit of the file's instants, or None if it has none."""
+    units = {w.logical_details.split("=")[1].split(",")[0] for w in fields if w.logical_type == "TIMESTAMP" and w.logical_details.endswith("=true")}
     if "NANOS" in units:
         raise SchemaError("Spark's timestamps hold microseconds; TIMESTAMP(NANOS) can't be written.")
     if len(units) > 1:
         raise SchemaError("All TIMESTAMP columns of a file must have one unit.")
-    return units.pop() if units else "MICROS"
+    return units.pop() if units else None
 
 
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy", schema: list[WriteField] | None = None, row_group_size: int | None = None, metadata=None, sorted_by=None, append: bool = False, *, sort: bool = False, bloom_filters: Sequence[str] = ()) -> None:
     """Writes ``df`` to the single file ``path``.
 
     Everything is checked before a byte is written: names, declared types,
-    every value against its declaration.  ``sorted_by`` records an order and
-    doesn't sort; ``sort=True`` also sorts.  Metadata and order are kept in the
-    file's Spark schema (see :func:`notes`).  ``append`` adds rows to a file of
-    the same columns, types and annotations; that rewrites the file beside the
-    old one, which stays as it was if anything fails.  All rows pass through
-    one task, as one file demands; for a dataset in many files use
-    :func:`write_dataset`.
+    every value against its declaration.  ``sorted_by`` records an order in the
+    footer and doesn't sort; ``sort=True`` also sorts.  ``metadata`` are footer
+    keys, in their order, which may repeat; one without a value gets an empty
+    one, which :func:`notes` tells apart.  Geospatial columns are annotated
+    and get their statistics.  ``append`` adds rows to a file of the same
+    columns, types and annotations; that rewrites the file beside the old one,
+    which stays as it was if anything fails, and keeps its keys before the new
+    ones.  All rows pass through one task, as one file demands; for a dataset in
+    many files use :func:`write_dataset`.  For lists of values see
+    :func:`lamina.plans.write_schema.frame`.
     """
     checked_names(df)
     if not isinstance(path, str) or not path:
@@ -161,60 +239,66 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy", schema:
         raise ValueError(f"compression: one of {', '.join(CODECS)}")
     rows, pairs = checked_rows(row_group_size), checked_metadata(metadata)
     fields = resolve(df, schema)
-    unit = _unit(fields)
+    _unit(fields)
     if append:
         fields = compatible(df.sparkSession, path, fields)
     keys = checked_sort(sorted_by, df.columns)
     if unknown := [b for b in bloom_filters if b not in df.columns]:
         raise ValueError(f"bloom_filters: there is no column {', '.join(unknown)}")
-    about = {k: json.dumps(v) for k, v in ((NOTES, pairs), (SORTED, keys)) if v}
+    out = cast(df.orderBy(*sort_columns(keys)) if sort and keys else df, fields, {})
     if append:
-        # A file's own notes stay; new ones are added after them.
         old = notes(df.sparkSession, path)
-        about = {k: json.dumps(v) for k, v in ((NOTES, old["metadata"] + pairs), (SORTED, keys or old["sorted_by"])) if v}
-    out = cast(df.orderBy(*sort_columns(keys)) if sort and keys else df, fields, about)
-    if append:
-        now = df.sparkSession.read.parquet(path)
-        out = cast(now.select(*[column(f.name).cast(f.dataType) for f in out.schema.fields]).unionAll(out), fields, about)
-    _written(out, path, compression, rows, unit, bloom_filters)
+        pairs, keys = old["metadata"] + pairs, keys or old["sorted_by"]
+        leaves = read_footer(df.sparkSession, path).leaves
+        now = df.sparkSession.read.schema(T.StructType([T.StructField(x.path, converters.read_type(x), True) for x in leaves])).parquet(path)
+        # Both sides are declared alike, so the file's rows pass the same guards.
+        out = cast(now.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in out.schema.fields]).unionAll(out), [replace(w, logical_type=None, logical_details=None) if w.logical_type in ("GEOMETRY", "GEOGRAPHY") else w for w in fields], {})
+    _written(out, path, compression, rows, fields, pairs, keys, bloom_filters)
+
+
+#: What must agree before rows are appended: of the whole table, then of each column (its name, what of the file's leaf, what of the new field).
+TABLE_AGREES = (
+    ("nested columns", lambda leaves, fields: [x.path for x in leaves if x.path != x.name], lambda leaves, fields: []),
+    ("number of columns", lambda leaves, fields: len(leaves), lambda leaves, fields: len(fields)),
+    ("names or their order differ", lambda leaves, fields: [x.name for x in leaves], lambda leaves, fields: [w.name for w in fields]),
+)
+COLUMN_AGREES = ("physical_type", "logical_type", "logical_details")
 
 
 def compatible(spark: SparkSession, path: str, fields: list[WriteField]) -> list[WriteField]:
     """``fields`` with the file's nullability, or a SchemaError that says how the file differs."""
-    fs, at = _hadoop(spark, path)
+    fs, at = hadoop(spark, path)
     if not fs.exists(at):
         raise SchemaError(f"nothing to append to: no file at {path}")
     leaves = read_footer(spark, path).leaves
-    if any(x.path != x.name for x in leaves):
-        raise SchemaError("the file has nested columns; only flat files can grow")
-    if len(leaves) != len(fields):
-        raise SchemaError(f"the file has {len(leaves)} columns, the new rows {len(fields)}")
-    if [x.name for x in leaves] != [w.name for w in fields]:
-        raise SchemaError(f"names or their order differ: {[x.name for x in leaves]} in the file, {[w.name for w in fields]} in the new rows")
-    for kind in ("physical_type", "logical_type", "logical_details"):
-        for x, w in zip(leaves, fields, strict=True):
-            if w.logical_type in ("GEOMETRY", "GEOGRAPHY") and kind != "physical_type":
-                continue  # annotated in the Spark schema only
-            if getattr(x, kind) != getattr(w, kind):
-                raise SchemaError(f"{x.name}: {kind} is {getattr(x, kind)} in the file and {getattr(w, kind)} in the new rows")
-    for x, w in zip(leaves, fields, strict=True):
-        if x.repetition_type == "REQUIRED" and w.repetition_type == "OPTIONAL":
+
+    def same(what: str, has: object, new: object) -> None:
+        if has != new:
+            raise SchemaError(f"{what}: {has} in the file, {new} in the new rows")
+
+    for what, of_file, of_rows in TABLE_AGREES:
+        same(what, of_file(leaves, fields), of_rows(leaves, fields))
+    pairs: list[tuple[Leaf, WriteField]] = list(zip(leaves, fields, strict=True))
+    for what in COLUMN_AGREES:
+        for x, w in pairs:
+            same(f"{w.name}, {what}", getattr(x, what), getattr(w, what))
+    for x, w in pairs:
+        if (x.repetition_type, w.repetition_type) == ("REQUIRED", "OPTIONAL"):
             raise SchemaError(f"{w.name}: REQUIRED in the file, but the new rows have nulls")
-    return [replace(w, repetition_type=x.repetition_type) for x, w in zip(leaves, fields, strict=True)]
+    return [replace(w, repetition_type=x.repetition_type) for x, w in pairs]
 
 
 def notes(spark: SparkSession, path: str) -> dict:
-    """``metadata`` (pairs), ``sorted_by`` and ``logical_types`` that :func:`write_parquet` left in the file."""
-    known = dict(read_footer(spark, path).metadata)
-    schema = json.loads(known.get("org.apache.spark.sql.parquet.row.metadata") or '{"fields": []}')
-    out = {"metadata": [], "sorted_by": [], "logical_types": {}}
-    for f in schema["fields"]:
-        about = f.get("metadata", {})
-        out["metadata"] += [tuple(p) for p in json.loads(about.get(NOTES, "[]"))]
-        out["sorted_by"] += json.loads(about.get(SORTED, "[]"))
-        if LOGICAL in about:
-            out["logical_types"][f["name"]] = about[LOGICAL]
-    return out
+    """``metadata`` (the footer's pairs, but for Spark's own), ``sorted_by`` and ``logical_types`` of geospatial columns."""
+    f = read_footer(spark, path)
+    order = f.row_groups[0].sorting if f.row_groups else ()
+    pairs = [(k, v) for k, v in f.metadata if not k.startswith(SPARKS_OWN)]
+    bare = {i for k, v in pairs if k == VALUELESS for i in json.loads(v)}
+    return {
+        "metadata": [(k, None if i in bare else v) for i, (k, v) in enumerate(p for p in pairs if p[0] != VALUELESS)],
+        "sorted_by": [{"name": f.leaves[c - 1].path, "descending": d, "nulls_first": n} for c, d, n in order],
+        "logical_types": {x.path: f"{x.logical_type}({x.logical_details})" for x in f.leaves if x.logical_type in ("GEOMETRY", "GEOGRAPHY")},
+    }
 
 
 def write_dataset(df: DataFrame, path: str, compression: str = "snappy", schema: list[WriteField] | None = None, row_group_size: int | None = None, sorted_by=None, partition_by: Sequence[str] = (), append: bool = False, *, max_records_per_file: int | None = None) -> None:
@@ -222,7 +306,7 @@ def write_dataset(df: DataFrame, path: str, compression: str = "snappy", schema:
 
     The form for large data: every task writes its own file, ``append`` adds
     files by Spark's commit protocol, and ``sorted_by`` sorts within tasks so
-    that row groups' bounds are narrow.
+    that row groups' bounds are narrow.  Footers are Spark's own here.
     """
     if compression not in CODECS:
         raise ValueError(f"compression: one of {', '.join(CODECS)}")
@@ -230,17 +314,14 @@ def write_dataset(df: DataFrame, path: str, compression: str = "snappy", schema:
     out = cast(df, fields, {SORTED: json.dumps(keys)} if keys else {})
     if keys:
         out = out.sortWithinPartitions(*sort_columns(keys))
-    writer = out.write.mode("append" if append else "errorifexists").option("compression", CODECS[compression])
+    writer = in_unit(out, _unit(fields)).write.mode("append" if append else "errorifexists").option("compression", CODECS[compression])
     if rows:
         writer = writer.option("parquet.block.row.count.limit", rows)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    spark, key = df.sparkSession, "spark.sql.parquet.outputTimestampType"
-    was = spark.conf.get(key)
-    try:
-        spark.conf.set(key, f"TIMESTAMP_{_unit(fields)}")
-        writer.parquet(path)
-    finally:
-        spark.conf.set(key, was)
+    writer.parquet(path)
+
+
+__all__ = ["CODECS", "SchemaError", "compatible", "frame", "notes", "write_dataset", "write_parquet"]

@@ -25,4 +25,4 @@ def read_stream(spark: SparkSession, folder: str, example: str, columns: Sequenc
     reader = spark.readStream.schema(T.StructType([T.StructField(r.path, converters.read_type(leaves[r.column - 1]), True) for r in rows]))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder).select(*[converters.convert(r, leaves[r.column - 1], F.col(quoted(r.path))).alias(r.path) for r in rows])
+    return reader.parquet(folder).select(*[converters.convert(r, leaves[r.column - 1], F.col(quoted(r.path)), validate_text=True).alias(r.path) for r in rows])

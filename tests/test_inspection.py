@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lamina.functions import geo
 from lamina.operators import inspection
 from lamina.plans.write_schema import parquet_schema
+from lamina.sources import compact
+from lamina.sources.footer import copy_with_footer, tree_of
 from lamina.sources.scan import open_parquet
 from lamina.sources.write import notes, write_parquet
 
@@ -78,7 +80,7 @@ def test_bloom_dates_and_unsigned():
 def test_validation(spark, tmp_path, sorted_file):
     assert inspection.validate_parquet(spark, sorted_file.path)
     whole = open(sorted_file.path, "rb").read()
-    cases = {"small": (b"PAR1", "too few"), "head": (b"XXXX" + whole[4:], "at the start"), "tail": (whole[:-10], "at the end"), "crypt": (whole[:-4] + b"PARE", "encrypted"), "footer": (whole[:-60] + b"\xff" * 52 + whole[-8:], "can't be parsed")}
+    cases = {"small": (b"PAR1", "too few"), "head": (b"XXXX" + whole[4:], "at its start"), "tail": (whole[:-10], "at its end"), "crypt": (whole[:-4] + b"PARE", "encrypted"), "footer": (whole[:-60] + b"\xff" * 52 + whole[-8:], "can't be parsed")}
     for name, (data, says) in cases.items():
         (tmp_path / name).write_bytes(data)
         with pytest.raises(ValueError, match=says):
@@ -128,4 +130,53 @@ def test_geospatial_statistics(spark, tmp_path):
     assert (found[1].xmin, found[1].xmax, found[1].ymin, found[1].ymax, found[1].zmin, found[1].geometry_types) == (1.0, 6.0, -6.0, 9.0, None, [1, 2])
     assert found[2].xmin is None and found[2].geometry_types is None  # one invalid value spoils its group
     assert notes(spark, path)["logical_types"] == {"g": "GEOMETRY(crs=EPSG:4326)"}
-    assert inspection.geospatial_statistics(open_parquet(spark, path)).count() == 0
+    assert inspection.geospatial_statistics(open_parquet(spark, path)).count() == 2  # the file says itself that the column is geospatial
+    (leaf,) = open_parquet(spark, path).footer.leaves
+    assert (leaf.logical_type, leaf.logical_details) == ("GEOMETRY", "crs=EPSG:4326")
+    assert [c.min for c in open_parquet(spark, path).footer.chunks] == [None, None]
+    assert [r.g for r in open_parquet(spark, path).collect().collect()] == [r[0] for r in rows]
+    write_parquet(df, path, schema=parquet_schema(g={"type": "GEOGRAPHY", "algorithm": "karney"}))
+    only = inspection.geospatial_statistics(open_parquet(spark, path)).collect()
+    assert len(only) == 1 and only[0].xmin is None and only[0].geometry_types is None
+    plain = str(tmp_path / "plain.parquet")
+    write_parquet(df.limit(4), plain)
+    assert inspection.geospatial_statistics(open_parquet(spark, plain)).count() == 0
+    assert [r.geometry_types for r in inspection.geospatial_statistics(open_parquet(spark, plain), ["g"]).collect()] == [[1, 2]]
+
+
+def test_footer_against_another_reader(spark, tmp_path):
+    path = str(tmp_path / "x.parquet")
+    table = pa.table({"i": pa.array([3, None, 1], pa.int32()), "s": ["b", "", "a"], "l": [[1], [], None], "t": pa.array([1, 2, 3], pa.time64("us")), "d": pa.array([1, 2, 3], pa.decimal128(12, 3)), "u": pa.array([1, 2, 3], pa.uint16())}, metadata={"k": "v"})
+    pq.write_table(table, path, row_group_size=2, sorting_columns=[pq.SortingColumn(0, descending=True, nulls_first=True)], write_page_index=True, compression="zstd")
+    f, other = open_parquet(spark, path).footer, pq.ParquetFile(path)
+    meta = other.metadata
+    assert f.declared_rows == f.rows == meta.num_rows == 3 and len(f.row_groups) == meta.num_row_groups == 2
+    assert [x.path for x in f.leaves] == [other.schema.column(i).path for i in range(len(other.schema))]
+    assert [(x.max_definition_level, x.max_repetition_level) for x in f.leaves] == [(other.schema.column(i).max_definition_level, other.schema.column(i).max_repetition_level) for i in range(len(other.schema))]
+    for c in f.chunks:
+        o = meta.row_group(c.row_group - 1).column(c.column - 1)
+        assert (c.path, c.num_values, c.compressed_bytes, c.uncompressed_bytes, c.compression) == (o.path_in_schema, o.num_values, o.total_compressed_size, o.total_uncompressed_size, o.compression)
+        assert set(c.encodings) == set(o.encodings) and c.null_count == o.statistics.null_count and c.dictionary_page == o.has_dictionary_page and c.page_index
+    assert f.row_groups[0].sorting == ((1, True, True),) and ("k", "v") in f.metadata
+    assert [r.path for r in inspection.sorting(open_parquet(spark, path)).collect()] == ["i", "i"]
+    tree, _ = tree_of(spark, path)
+    assert compact.read(compact.write(tree)) == tree
+
+
+def test_a_footer_that_contradicts_itself(spark, tmp_path):
+    path, broken = str(tmp_path / "x.parquet"), str(tmp_path / "broken.parquet")
+    pq.write_table(pa.table({"a": [1, 2, 3], "b": [1, 2, 3]}), path, row_group_size=2)
+    tree, body = tree_of(spark, path)
+    copy_with_footer(spark, path, broken, tree, body)
+    assert inspection.validate_parquet(spark, broken) and pq.read_table(broken).num_rows == 3
+    copy_with_footer(spark, path, broken, tree | {3: (compact.I64, 4)}, body)
+    with pytest.raises(ValueError, match="4 rows are declared, 3 are in row groups"):
+        inspection.validate_parquet(spark, broken)
+    group = tree[4][1][1][0]
+    fewer = group | {1: (compact.LIST, (compact.STRUCT, group[1][1][1][:1]))}
+    copy_with_footer(spark, path, broken, tree | {4: (compact.LIST, (compact.STRUCT, [fewer, tree[4][1][1][1]]))}, body)
+    with pytest.raises(ValueError, match="row group 1 has 1 column chunks for 2 columns"):
+        inspection.validate_parquet(spark, broken)
+    copy_with_footer(spark, path, broken, tree, body - 40)
+    with pytest.raises(ValueError, match="outside the data"):
+        inspection.validate_parquet(spark, broken)

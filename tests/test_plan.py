@@ -10,6 +10,7 @@ def plan(physical, logical=None, details=None, **options):
     return build_plan([Leaf(1, "x", "x", physical, logical, details)], ReadOptions(**options))[0]
 
 
+# Fixed values of the mapping contract, in the order of the format's types.
 @pytest.mark.parametrize(
     ("physical", "logical", "details", "options", "r_type", "converter"),
     [
@@ -51,8 +52,9 @@ def test_mapping(physical, logical, details, options, r_type, converter):
 def test_notes():
     nested = build_plan([Leaf(1, "b", "a.b", "INT32"), Leaf(2, "element", "n.list.element", "INT32", max_repetition_level=1)])
     assert all(r.nested and not r.collectible and r.note for r in nested)
-    assert plan("INT64", "DATE").note == "logical type DATE is not yet applied; read as double"
-    assert plan("OTHER").note == "physical type OTHER is not supported for reading"
+    assert plan("INT64", "DATE").note == "annotation DATE has no meaning for INT64 here; comes as double"
+    assert plan("OTHER").note == "no column is made from OTHER"
+    assert plan("INT32", "DATE").note is None
     assert not build_plan([Leaf(1, "x", "x", "INT32", max_definition_level=0)])[0].nullable
 
 
