@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
+import hashlib
+import http.server
+import io
+import struct
+import threading
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +25,12 @@ from pyspark.sql import types as T
 from lamina.functions import converters
 from lamina.operators import inspection
 from lamina.plans.types import type_mapping
-from lamina.plans.write_schema import infer_parquet_schema, parquet_schema
+from lamina.plans.plan import ReadOptions
+from lamina.plans.write_schema import SchemaError, frame, infer_parquet_schema, parquet_schema
 from lamina.session import run_dir
+from lamina.sources.footer import hadoop
 from lamina.sources.scan import ParquetFile, open_parquet, read_parquet, read_plan
-from lamina.sources.write import CODECS, notes, write_dataset, write_parquet
+from lamina.sources.write import CODECS, notes, with_setting, write_dataset, write_parquet
 from lamina.streaming.stream import read_stream
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -41,6 +55,24 @@ def at(sf_dir: str, name: str) -> str:
     return f"{sf_dir}/{name}.parquet"
 
 
+def as_bytes(table: pa.Table, **how) -> bytes:
+    out = io.BytesIO()
+    pq.write_table(table, out, **how)
+    return out.getvalue()
+
+
+def put(spark: SparkSession, name: str, data: bytes) -> str:
+    """A file of these bytes in the shared folder: annotations that Spark doesn't write come from another writer."""
+    path = scratch(spark, name)
+    fs, to = hadoop(spark, path)
+    out = fs.create(to, True)
+    try:
+        out.write(data)
+    finally:
+        out.close()
+    return path
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}.parquet"
 
@@ -100,15 +132,8 @@ def walk_batches_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.groupBy(F.col("_row_group").alias("row_group"), F.col("_batch").alias("batch")).agg(F.count("*").alias("n"), F.sum("event_id").alias("total"))
 
 
-@query("SELECT r // 1000 * 4 + r % 1000 // 300 + 1 AS batch, count(*) AS n FROM (SELECT row_number() OVER () - 1 AS r FROM events) WHERE r < 2000 GROUP BY 1")
-def walk_batches_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f, seen = grouped_events(spark, sf_dir), []
-    f.walk_batches(lambda batch, index: seen.append((index, batch.num_rows)), ["event_id"], [g for g in (1, 2) if g <= len(f.footer.row_groups)], batch_size=300)
-    return spark.createDataFrame(seen, "batch long, n long")
-
-
 @query("SELECT r // 1000 * 4 + r % 1000 // 300 + 1 AS batch, count(*) AS n, sum(event_id)::BIGINT AS total FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events) GROUP BY 1")
-def walk_batches_driver_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def walk_batches_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = []
     grouped_events(spark, sf_dir).walk_batches(lambda batch, index: seen.append((index, batch.num_rows, sum(batch.column("event_id").to_pylist()))), ["event_id"], batch_size=300, int64="integer64")
     return spark.createDataFrame(seen, "batch long, n long, total long")
@@ -145,9 +170,9 @@ def planned(physical: str, logical: str | None) -> tuple[str, str]:
     return {"INT64": ("integer64", "int64_bit64"), "INT32": ("integer", "int32"), "DOUBLE": ("double", "double"), "BYTE_ARRAY": ("character", "text")}[physical] if logical != "TIMESTAMP" else ("POSIXct", "timestamp_local_micros_UTC")
 
 
-@query(values('"column", path, physical_type, logical_type, r_type, converter', [(i, n, p, k, *planned(p, k)) for i, (n, p, k) in enumerate(LINEITEM, 1)]))
+@query(values('"column", name, path, physical_type, logical_type, r_type, converter, nullable, note', [(i, n, n, p, k, *planned(p, k), 1, None) for i, (n, p, k) in enumerate(LINEITEM, 1)]))
 def read_plan_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_plan(spark, at(sf_dir, "lineitem"), int64="integer64").select("column", "path", "physical_type", "logical_type", "r_type", "converter")
+    return read_plan(spark, at(sf_dir, "lineitem"), int64="integer64").select("column", "name", "path", "physical_type", "logical_type", "r_type", "converter", F.col("nullable").cast("int").alias("nullable"), "note")
 
 
 @query(values("path, nested, collectible", [("vec_id", 0, 1), ("embedding.list.element", 1, 0), ("label", 0, 1)]))
@@ -168,9 +193,9 @@ def parquet_type_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Metadata relations
 
 
-@query(values('"column", name, path, physical_type, logical_type, logical_details, repetition_type, max_definition_level, max_repetition_level', [(i, n, n, p, k, "unit=MICROS, adjusted_to_utc=false" if k == "TIMESTAMP" else None, "OPTIONAL", 1, 0) for i, (n, p, k) in enumerate(LINEITEM, 1)]))
+@query(values('"column", name, path, physical_type, logical_type, logical_details, repetition_type, type_length, max_definition_level, max_repetition_level', [(i, n, n, p, k, "unit=MICROS, adjusted_to_utc=false" if k == "TIMESTAMP" else None, "OPTIONAL", 0, 1, 0) for i, (n, p, k) in enumerate(LINEITEM, 1)]))
 def schema_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inspection.schema(open_parquet(spark, at(sf_dir, "lineitem"))).drop("type_length")
+    return inspection.schema(open_parquet(spark, at(sf_dir, "lineitem"))).fillna(0, ["type_length"])
 
 
 @query("SELECT (r // 1000 + 1)::INTEGER AS row_group, count(*) AS n_rows FROM (SELECT row_number() OVER () - 1 AS r FROM events) GROUP BY 1")
@@ -204,10 +229,35 @@ def column_statistics_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.groupBy("path").agg(F.sum("null_count").alias("null_count"), *[(f(f"{side}.{k}") + 0.0 if k == "d" else f(f"{side}.{k}")).alias(f"{side}_{k}") for side, f in (("min", F.min), ("max", F.max)) for k in "ids"])
 
 
-@query("SELECT (r // 1000 + 1)::INTEGER AS row_group, 0::BIGINT AS first_row, count(*) - count(event_id) AS null_count, min(event_id) AS low, max(event_id) AS high FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events) GROUP BY 1")
+def _page_oracle() -> str:
+    kinds = {"event_id": "i", "user_id": "i", "event_type": "s", "value": "d"}
+    cell = {"i": "BIGINT", "d": "DOUBLE", "s": "VARCHAR"}
+    out = []
+    for name, kind in kinds.items():
+        ends = ", ".join(f"{(f'{f}({name})' + (' + 0.0' if k == 'd' else '')) if k == kind else 'NULL'}::{cell[k]} AS {side}_{k}" for side, f in (("low", "min"), ("high", "max")) for k in cell)
+        out.append(f"SELECT (r // 1000 + 1)::INTEGER AS row_group, '{name}' AS path, 0::BIGINT AS first_row, count(*) - count({name}) AS null_count, {ends} FROM (SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events) GROUP BY 1")
+    return " UNION ALL ".join(out)
+
+
+@query(_page_oracle())
 def page_index_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = inspection.page_index(grouped_events(spark, sf_dir)).where("path = 'event_id'")
-    return pages.groupBy("row_group").agg(F.min("first_row").alias("first_row"), F.sum("null_count").alias("null_count"), F.min("min.i").alias("low"), F.max("max.i").alias("high"))
+    pages = inspection.page_index(grouped_events(spark, sf_dir))
+    ends = [((f(f"{side}.{k}") + 0.0 if k == "d" else f(f"{side}.{k}")).alias(f"{name}_{k}")) for side, name, f in (("min", "low", F.min), ("max", "high", F.max)) for k in "ids"]
+    return pages.groupBy("row_group", "path").agg(F.min("first_row").alias("first_row"), F.sum("null_count").alias("null_count"), *ends)
+
+
+@query(values("key, value", [("source", "customer"), ("source", "again"), ("empty", "")]))
+def metadata_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "keys")
+    write_parquet(spark.read.parquet(at(sf_dir, "nation")), path, metadata=[("source", "customer"), ("source", "again"), ("empty", "")])
+    return inspection.metadata(open_parquet(spark, path)).where("key NOT LIKE 'org.apache.spark.%'")
+
+
+@query("SELECT (g + 1)::INTEGER AS row_group, p AS position, path, descending, nulls_first FROM (SELECT DISTINCT (row_number() OVER () - 1) // 500 AS g FROM customer), (VALUES (1, 'c_nationkey', true, true), (2, 'c_custkey', false, false)) AS k(p, path, descending, nulls_first)")
+def sorted_by_recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "order")
+    write_parquet(spark.read.parquet(at(sf_dir, "customer")), path, row_group_size=500, sorted_by=[{"name": "c_nationkey", "descending": True, "nulls_first": True}, "c_custkey"])
+    return inspection.sorting(open_parquet(spark, path)).drop("column")
 
 
 @query(values("key, value", [("source", "customer"), ("source", "again"), ("empty", None)]))
@@ -219,28 +269,33 @@ def footer_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @F.pandas_udf(T.BinaryType())
 def point(x: pd.Series, y: pd.Series) -> pd.Series:
-    import struct
-
     return pd.Series([struct.pack("<BIdd", 1, 1, a, b) for a, b in zip(x, y, strict=True)])
 
 
-@query("SELECT 1 AS row_group, min(c_acctbal) AS xmin, max(c_acctbal) AS xmax, min(c_nationkey)::DOUBLE AS ymin, max(c_nationkey)::DOUBLE AS ymax, 1 AS kind FROM customer")
-def geospatial_statistics_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+GEO_ORACLE = "SELECT (r // 100 + 1)::INTEGER AS row_group, min(c_acctbal) AS xmin, max(c_acctbal) AS xmax, min(c_nationkey)::DOUBLE AS ymin, max(c_nationkey)::DOUBLE AS ymax, 1 AS kind FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) - 1 AS r FROM customer) GROUP BY 1"
+
+
+def _points(spark: SparkSession, sf_dir: str, schema) -> ParquetFile:
     path = scratch(spark, "points")
-    write_parquet(spark.read.parquet(at(sf_dir, "customer")).select("c_custkey", point("c_acctbal", F.col("c_nationkey").cast("double")).alias("at")), path, schema=parquet_schema(at="GEOMETRY"))
-    found = inspection.geospatial_statistics(open_parquet(spark, path), ["at"])
+    points = spark.read.parquet(at(sf_dir, "customer")).select("c_custkey", point("c_acctbal", F.col("c_nationkey").cast("double")).alias("at"))
+    write_parquet(points, path, schema=schema, row_group_size=100, sorted_by=["c_custkey"], sort=True)
+    return open_parquet(spark, path)
+
+
+@query(GEO_ORACLE)
+def geospatial_statistics_of_footer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = inspection.geospatial_statistics(_points(spark, sf_dir, parquet_schema(at={"type": "GEOMETRY", "crs": "EPSG:4326"})))
     return found.select("row_group", "xmin", "xmax", "ymin", "ymax", F.element_at("geometry_types", 1).alias("kind"))
 
 
-@query("SELECT event_id AS value, true AS found FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS r FROM events) WHERE r <= 200")
-def bloom_filter_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = grouped_events(spark, sf_dir)
-    wanted = [int(r.event_id) for r in f.collect(["event_id"], row_groups=[1], int64="integer64").orderBy("event_id").limit(200).collect()]
-    return spark.createDataFrame(list(zip(wanted, inspection.bloom_filter_may_contain(f, "event_id", wanted), strict=True)), "value long, found boolean")
+@query(GEO_ORACLE)
+def geospatial_statistics_of_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = inspection.geospatial_statistics(_points(spark, sf_dir, None), ["at"])
+    return found.select("row_group", "xmin", "xmax", "ymin", "ymax", F.element_at("geometry_types", 1).alias("kind"))
 
 
 @query("SELECT (r // 1000 + 1)::INTEGER AS row_group, event_id AS value, true AS found FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events)")
-def bloom_filter_present_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bloom_filter_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     f, seen = grouped_events(spark, sf_dir), []
     for g in f.footer.row_groups:
         wanted = f.collect(["event_id"], row_groups=[g.row_group], int64="integer64").toArrow().column("event_id").to_pylist()
@@ -248,6 +303,49 @@ def bloom_filter_present_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(seen, "row_group int, value long, found boolean")
 
 
+@query("SELECT (r // 1000 + 1)::INTEGER AS row_group, count(*) AS asked, true AS nearly_all_excluded FROM (SELECT row_number() OVER (ORDER BY event_id) - 1 AS r FROM events) GROUP BY 1")
+def bloom_filter_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every id, moved beyond all ids, against its own row group's filter."""
+    f, seen = grouped_events(spark, sf_dir), []
+    ids = f.collect(["event_id"], int64="integer64", ordered=True).toArrow().column("event_id").to_pylist()
+    for g in f.footer.row_groups:
+        wanted = [v + 10 * len(ids) for v in ids[g.first_row : g.first_row + g.rows]]
+        found = inspection.bloom_filter_may_contain(f, "event_id", wanted, g.row_group)
+        seen.append((g.row_group, len(wanted), sum(found) < 0.1 * len(wanted)))
+    return spark.createDataFrame(seen, "row_group int, asked long, nearly_all_excluded boolean")
+
+
+BLOOM_CASES = [("event_id", None, "unknown"), ("event_id", 1.5, "refused"), ("event_id", "1", "refused"), ("event_id", 1 << 63, "refused"), ("event_id", True, "refused"), ("value", 1.0, "refused"), ("nope", 1, "refused"), ("event_id", float(1 << 40), "absent"), ("event_id", 1 << 41, "absent")]
+
+
+@query(values("number, answer", [(i, a) for i, (_, _, a) in enumerate(BLOOM_CASES)]))
+def bloom_filter_reductions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each kind of value is reduced to, or that it is refused; the float stands for a whole number."""
+    f, out = grouped_events(spark, sf_dir), []
+    for i, (column, value, _) in enumerate(BLOOM_CASES):
+        try:
+            (found,) = inspection.bloom_filter_may_contain(f, column, [value])
+            out.append((i, {None: "unknown", True: "present", False: "absent"}[found]))
+        except ValueError:
+            out.append((i, "refused"))
+    return spark.createDataFrame(out, "number int, answer string")
+
+
+BROKEN = {"whole": lambda b: b, "small": lambda b: b[:8], "head": lambda b: b"XXXX" + b[4:], "cut": lambda b: b[:-10], "encrypted": lambda b: b[:-4] + b"PARE", "footer": lambda b: b[:-60] + b"\xff" * 52 + b[-8:], "length": lambda b: b[:-8] + b"\xff\xff\xff\x7f" + b[-4:]}
+
+
+@query(values("name, valid", [(n, int(n == "whole")) for n in (*BROKEN, "missing", "folder")]))
+def validate_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, out = as_bytes(pa.table({"x": list(range(1000))})), []
+    paths = {n: put(spark, n, breaks(good)) for n, breaks in BROKEN.items()}
+    for name, path in {**paths, "missing": scratch(spark, "missing"), "folder": run_dir(spark)}.items():
+        try:
+            out.append((name, int(inspection.validate_parquet(spark, path))))
+        except ValueError:
+            out.append((name, 0))
+    return spark.createDataFrame(out, "name string, valid int")
+
+
 @query(values("name, valid", [(t, "true") for t in TABLES]))
 def validate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(t, str(inspection.validate_parquet(spark, at(sf_dir, t))).lower()) for t in TABLES], "name string, valid string")
@@ -276,9 +374,9 @@ for _codec in CODECS:
     query("SELECT * FROM customer")(_round_trip(_codec))
 
 
-@query("SELECT c_custkey, c_name FROM customer")
+@query("SELECT * FROM customer")
 def write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, df = scratch(spark, "append"), spark.read.parquet(at(sf_dir, "customer")).select("c_custkey", "c_name")
+    path, df = scratch(spark, "append"), spark.read.parquet(at(sf_dir, "customer"))
     write_parquet(df.where("c_custkey % 2 = 0"), path)
     write_parquet(df.where("c_custkey % 2 = 1"), path, append=True)
     return read_parquet(spark, path, int64="integer64")
@@ -291,10 +389,10 @@ def write_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, path, int64="integer64")
 
 
-@query("SELECT s_nationkey, s_suppkey, s_acctbal FROM supplier")
+@query("SELECT * FROM supplier")
 def write_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "dataset")
-    write_dataset(spark.read.parquet(at(sf_dir, "supplier")).drop("s_name"), path, partition_by=["s_nationkey"], sorted_by=["s_suppkey"])
+    write_dataset(spark.read.parquet(at(sf_dir, "supplier")), path, partition_by=["s_nationkey"], sorted_by=["s_suppkey"])
     return spark.read.parquet(path)
 
 
@@ -315,14 +413,6 @@ def convert_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(at(sf_dir, "customer")).select("c_custkey", converters.uuid_text(F.unhex(F.md5("c_name"))).alias("id"))
 
 
-@query("SELECT o_orderkey, CASE WHEN h // 32768 = 1 THEN -1.0 ELSE 1.0 END * CASE WHEN h // 1024 % 32 = 0 THEN (h % 1024) * pow(2.0, -24) ELSE (h % 1024 + 1024) * pow(2.0, h // 1024 % 32 - 25) END AS half FROM (SELECT o_orderkey, o_orderkey * 7919 % 65536 AS h FROM orders) WHERE h // 1024 % 32 < 31")
-def convert_float16(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = F.col("o_orderkey") * 7919 % 65536
-    digits = F.lpad(F.hex(h), 4, "0")
-    raw = F.unhex(F.concat(F.substring(digits, 3, 2), F.substring(digits, 1, 2)))
-    return spark.read.parquet(at(sf_dir, "orders")).where(F.shiftright(h, 10) % 32 < 31).select("o_orderkey", converters.float16(raw).alias("half"))
-
-
 @query("SELECT event_id, (event_id * 1234567 % 86400000) / 1000.0 AS ms, (event_id * 1234567891 % 86400000000) / 1000000.0 AS us FROM events")
 def convert_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id")
@@ -351,6 +441,237 @@ def convert_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(at(sf_dir, "customer")).select("c_custkey", converters.text(F.col("c_name"), "c_name").alias("c_name"))
 
 
+# Files of another writer: 1,000 rows by rule, every annotation that the read plan knows
+
+
+N = 1000
+NUMBERS = f"(SELECT range AS i FROM range({N}))"
+
+
+def fixture(spark: SparkSession, name: str, columns: dict[str, pa.Array], **how) -> ParquetFile:
+    return open_parquet(spark, put(spark, name, as_bytes(pa.table(columns), **({"row_group_size": 300} | how))))
+
+
+def each(f) -> list:
+    return [f(i) for i in range(N)]
+
+
+@query(f"SELECT i::INTEGER AS i, CASE WHEN i % 7 <> 0 THEN i % 3 = 0 END AS b, i / 8.0 AS f, CASE WHEN i % 5 <> 0 THEN i / 3.0 END AS d FROM {NUMBERS}")
+def scan_boolean_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture(spark, "plain", {"i": pa.array(range(N), pa.int32()), "b": pa.array(each(lambda i: i % 3 == 0 if i % 7 else None)), "f": pa.array(each(lambda i: i / 8), pa.float32()), "d": pa.array(each(lambda i: i / 3 if i % 5 else None))}).collect()
+
+
+@query(f"SELECT i::INTEGER AS i, (i % 256)::INTEGER AS u8, (i * 65)::INTEGER AS u16, (i * 4294967)::DOUBLE AS u32, CASE WHEN x <= 9007199254740992 THEN x::DOUBLE END AS u64, CASE WHEN x <= 9223372036854775807 THEN x::BIGINT END AS u64_bit64 FROM (SELECT i, i::HUGEINT * 18446744073709551 AS x FROM {NUMBERS})")
+def scan_unsigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = {"u8": (lambda i: i % 256, pa.uint8()), "u16": (lambda i: i * 65, pa.uint16()), "u32": (lambda i: i * 4294967, pa.uint32()), "u64": (lambda i: i * 18446744073709551, pa.uint64())}
+    f = fixture(spark, "unsigned", {"i": pa.array(range(N), pa.int32())} | {n: pa.array(each(rule), kind) for n, (rule, kind) in kinds.items()})
+    return f.collect().join(f.collect(["i", "u64"], int64="integer64").withColumnRenamed("u64", "u64_bit64"), "i")
+
+
+@query(f"SELECT i::INTEGER AS i, NULL::BOOLEAN AS n FROM {NUMBERS}")
+def scan_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixture(spark, "null", {"i": pa.array(range(N), pa.int32()), "n": pa.nulls(N)}).collect()
+
+
+STAMP = "1577836800000000000 + i * 25200123456789"
+
+
+@query(f"SELECT i::INTEGER AS i, {', '.join(f'(s // {per} * {per} // 1000) - {off} AS {kind}_{unit}' for kind, off in (('utc', 0), ('local', 19800000000)) for unit, per in (('ms', 1000000), ('us', 1000), ('ns', 1)))} FROM (SELECT i, {STAMP} AS s FROM {NUMBERS})")
+def scan_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    per = {"ms": 10**6, "us": 10**3, "ns": 1}
+    columns = {f"{kind}_{unit}": pa.array(each(lambda i, p=p: (1577836800000000000 + i * 25200123456789) // p), pa.timestamp(unit, tz="UTC" if kind == "utc" else None)) for kind in ("utc", "local") for unit, p in per.items()}
+    df = fixture(spark, "stamps", {"i": pa.array(range(N), pa.int32())} | columns).collect(tz="Asia/Kolkata")
+    return df.select("i", *[F.unix_micros(c).alias(c) for c in columns])
+
+
+@query(f"SELECT i::INTEGER AS i, i * 86400 / 1000.0 AS ms, (i * 86400000 + 1) / 1000000.0 AS us, (i * 86400000000 + 1000) / 1000000000.0 AS ns, (i * 86400000)::BIGINT AS hms_ms, (i * 86400000 + 1)::BIGINT AS hms_us, (i * 86400000 + 1)::BIGINT AS hms_ns FROM {NUMBERS}")
+def scan_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = {"ms": (lambda i: i * 86_400, pa.time32("ms")), "us": (lambda i: i * 86_400_000 + 1, pa.time64("us")), "ns": (lambda i: i * 86_400_000_000 + 1000, pa.time64("ns"))}
+    f = fixture(spark, "times", {"i": pa.array(range(N), pa.int32())} | {n: pa.array(each(rule), kind) for n, (rule, kind) in kinds.items()})
+    part = lambda c, a, n: F.substring(F.rpad(F.concat(c, F.when(F.length(c) == 8, ".").otherwise("")), 15, "0"), a, n).cast("long")
+    micros = lambda c: ((part(c, 1, 2) * 60 + part(c, 4, 2)) * 60 + part(c, 7, 2)) * 1_000_000 + part(c, 10, 6)
+    clock = f.collect(time="hms").select("i", *[micros(F.col(n).cast("string")).alias(f"hms_{n}") for n in kinds])
+    return f.collect().join(clock, "i")
+
+
+@query("SELECT o_orderkey, (o_orderdate::DATE - DATE '1970-01-01')::INTEGER AS day FROM orders")
+def scan_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "days")
+    write_parquet(spark.read.parquet(at(sf_dir, "orders")).select("o_orderkey", F.to_date("o_orderdate").alias("day")), path)
+    return read_parquet(spark, path, int64="integer64").select("o_orderkey", F.unix_date("day").alias("day"))
+
+
+@query("SELECT event_id, epoch_us(ts) AS at FROM events")
+def scan_int96(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "int96")
+    events = spark.read.parquet(at(sf_dir, "events")).select("event_id", F.convert_timezone(F.lit("UTC"), F.current_timezone(), "ts").cast("timestamp").alias("ts"))
+    with_setting(events.coalesce(1), "spark.sql.parquet.outputTimestampType", "INT96").write.parquet(folder)
+    fs, to = hadoop(spark, folder)
+    (part,) = [s.getPath().toString() for s in fs.listStatus(to) if s.getPath().getName().startswith("part-")]
+    return read_parquet(spark, part, int64="integer64").select("event_id", F.unix_micros("ts").alias("at"))
+
+
+@query(f"SELECT i::INTEGER AS i, CASE WHEN i % 9 <> 0 THEN m[1:8] || '-' || m[9:12] || '-' || m[13:16] || '-' || m[17:20] || '-' || m[21:32] END AS u FROM (SELECT i, md5(i::VARCHAR) AS m FROM {NUMBERS})")
+def scan_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = each(lambda i: hashlib.md5(str(i).encode(), usedforsecurity=False).digest() if i % 9 else None)
+    return fixture(spark, "uuid", {"i": pa.array(range(N), pa.int32()), "u": pa.array(ids, pa.uuid())}).collect()
+
+
+@query("SELECT h::INTEGER AS h, CASE WHEN e < 31 THEN 'number' WHEN m > 0 THEN 'not a number' WHEN s THEN 'below all' ELSE 'above all' END AS kind, CASE WHEN e < 31 THEN CASE WHEN s THEN -1.0 ELSE 1.0 END * CASE WHEN e = 0 THEN m * pow(2.0, -24) ELSE (m + 1024) * pow(2.0, e - 25) END + 0.0 END AS half FROM (SELECT range AS h, range // 1024 % 32 AS e, range % 1024 AS m, range >= 32768 AS s FROM range(65536))")
+def scan_float16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 65,536 numbers of the kind, infinities and NaN among them."""
+    halves = np.arange(65536, dtype=np.uint16).view(np.float16)
+    df = fixture(spark, "half", {"h": pa.array(range(65536), pa.int32()), "x": pa.array(halves, pa.float16())}, row_group_size=10_000).collect()
+    x = F.col("x")
+    kind = F.when(F.isnan(x), "not a number").when(x == float("inf"), "above all").when(x == float("-inf"), "below all").otherwise("number")
+    return df.select("h", kind.alias("kind"), F.when(kind == "number", x + 0.0).alias("half"))
+
+
+@query(f"SELECT i::INTEGER AS i, {', '.join(f'CASE WHEN i % 11 <> 0 THEN (i - 500) * {m} / 100.0 END AS {n}' for n, m in (('d32', 137), ('d64', 12345678901), ('wide', 9876543), ('as_bytes', 9876543)))} FROM {NUMBERS}")
+def scan_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored in 32 and 64 bits, in fixed bytes, and in bytes."""
+    cents = lambda m: each(lambda i: decimal.Decimal((i - 500) * m).scaleb(-2) if i % 11 else None)
+    small = {"i": pa.array(range(N), pa.int32()), "d32": pa.array(cents(137), pa.decimal128(7, 2)), "d64": pa.array(cents(12345678901), pa.decimal128(17, 2))}
+    ints = fixture(spark, "decimals", small, store_decimal_as_integer=True).collect()
+    wide = fixture(spark, "wide", {"i": small["i"], "wide": pa.array(cents(9876543), pa.decimal128(30, 2)), "as_bytes": pa.array(cents(9876543), pa.decimal128(38, 2))}).collect()
+    return ints.join(wide, "i")
+
+
+@query(f"SELECT i::INTEGER AS i, CASE WHEN i % 4 <> 0 THEN 'héllo ' || i END AS s, '{{\"n\":' || i || '}}' AS j, hex(encode('b' || i)) AS b, hex(encode(lpad(i::VARCHAR, 4, '0'))) AS f FROM {NUMBERS}")
+def scan_text_and_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = {"i": pa.array(range(N), pa.int32()), "s": pa.array(each(lambda i: f"héllo {i}" if i % 4 else None)), "j": pa.array(each(lambda i: f'{{"n":{i}}}'), pa.json_()), "b": pa.array(each(lambda i: f"b{i}".encode()), pa.binary()), "f": pa.array(each(lambda i: f"{i:04d}".encode()), pa.binary(4))}
+    return fixture(spark, "text", columns).collect().select("i", "s", "j", F.hex("b").alias("b"), F.hex("f").alias("f"))
+
+
+ENCODINGS = {"dictionary": None, "plain": {"i": "PLAIN", "t": "PLAIN", "d": "PLAIN"}, "delta": {"i": "DELTA_BINARY_PACKED", "t": "DELTA_BYTE_ARRAY", "d": "BYTE_STREAM_SPLIT"}, "length": {"i": "DELTA_BINARY_PACKED", "t": "DELTA_LENGTH_BYTE_ARRAY", "d": "BYTE_STREAM_SPLIT"}}
+
+
+@query(f"SELECT e AS encoding, v AS version, (i * 7919 % 1000 - 500)::BIGINT AS i, CASE WHEN i % 3 <> 0 THEN 'v' || i % 150 ELSE 'unique-' || i END AS t, i / 7.0 AS d FROM {NUMBERS}, (VALUES {', '.join(f'({n!r})' for n in ENCODINGS)}) AS a(e), (VALUES ('1.0'), ('2.0')) AS b(v)")
+def scan_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every encoding, in data pages of both versions, with checksums that are verified."""
+    columns, out = {"i": pa.array(each(lambda i: i * 7919 % 1000 - 500), pa.int64()), "t": pa.array(each(lambda i: f"v{i % 150}" if i % 3 else f"unique-{i}")), "d": pa.array(each(lambda i: i / 7))}, None
+    for name, kind in ENCODINGS.items():
+        for version in ("1.0", "2.0"):
+            f = fixture(spark, name, columns, use_dictionary=kind is None, column_encoding=kind, data_page_version=version, compression="zstd", write_page_checksum=True)
+            own = f.collect(int64="integer64").select(F.lit(name).alias("encoding"), F.lit(version).alias("version"), "i", "t", "d")
+            out = own if out is None else out.unionAll(own)
+    return out
+
+
+@query(values("verified, damaged, readable", [(1, 0, 1), (1, 1, 0), (0, 0, 1)]))
+def page_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = as_bytes(pa.table({"x": pa.array(range(N), pa.int64())}), compression="none", use_dictionary=False, write_page_checksum=True, write_statistics=False)
+    middle = data.index(struct.pack("<q", 500))
+    damaged, out = data[:middle] + b"\x07" + data[middle + 1 :], []
+    for verified, bad in ((True, False), (True, True), (False, False)):
+        try:
+            total = open_parquet(spark, put(spark, "pages", damaged if bad else data), verified).collect().agg(F.sum("x").alias("n")).first().n
+            out.append((int(verified), int(bad), int(total == sum(range(N)))))
+        except (PySparkException, Py4JJavaError):
+            out.append((int(verified), int(bad), 0))
+    return spark.createDataFrame(out, "verified int, damaged int, readable int")
+
+
+# Handles and options
+
+
+@query("SELECT 0 AS line, count(*) || ' rows, 2 of 11 columns, 1 of 1 row groups, batches of 100' AS says FROM lineitem UNION ALL SELECT * FROM (VALUES (1, 'l_orderkey: INT64 -> integer64 (int64_bit64)'), (2, 'l_shipdate: INT64 TIMESTAMP -> POSIXct (timestamp_local_micros_UTC)'))")
+def read_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    says = open_parquet(spark, at(sf_dir, "lineitem")).report(["l_orderkey", "l_shipdate"], batch_size=100, int64="integer64")
+    return spark.createDataFrame(list(enumerate(says)), "line int, says string")
+
+
+OPTIONS = [({}, 1), ({"int64": "integer64"}, 1), ({"int64": "long"}, 0), ({"time": "hms"}, 1), ({"time": "text"}, 0), ({"tz": "GMT"}, 1), ({"tz": "Europe/Paris"}, 1), ({"tz": ""}, 0), ({"tz": "Nowhere/City"}, 0), ({"tz": None}, 0)]
+
+
+@query(values("number, taken", [(i, ok) for i, (_, ok) in enumerate(OPTIONS)]))
+def option_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = []
+    for i, (options, _) in enumerate(OPTIONS):
+        try:
+            ReadOptions(**options)
+            out.append((i, 1))
+        except ValueError:
+            out.append((i, 0))
+    return spark.createDataFrame(out, "number int, taken int")
+
+
+@query("SELECT count(*) AS before, true AS refused_after FROM nation")
+def close_ends_a_handle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = open_parquet(spark, at(sf_dir, "nation"))
+    n = f.collect().count()
+    f.close()
+    f.close()
+    try:
+        f.collect()
+        refused = False
+    except ValueError:
+        refused = True
+    return spark.createDataFrame([(n, refused)], "before long, refused_after boolean")
+
+
+@query("SELECT * FROM part")
+def url_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table, served over HTTP from this process and copied into the shared folder."""
+    (data,) = spark.read.format("binaryFile").load(at(sf_dir, "part")).select("content").first()
+
+    class Answer(http.server.BaseHTTPRequestHandler):
+        def do_GET(self) -> None:  # noqa: N802  the name is the server's
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *_) -> None:
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Answer)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        return read_parquet(spark, f"http://127.0.0.1:{server.server_port}/part.parquet", int64="integer64")
+    finally:
+        server.shutdown()
+        server.server_close()
+
+
+@query("SELECT count(*) AS matching, (count(*) + 999) // 1000 * 1000 AS rows_of_groups_read, (count(*) + 99) // 100 * 100 AS rows_of_pages_read FROM events WHERE event_id < 150")
+def predicates_skip_groups_and_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the reader decodes for a filter on a sorted column: those of the row groups, and of the pages, that may match."""
+    events, counts = spark.read.parquet(at(sf_dir, "events")).select("event_id", "value").orderBy("event_id").coalesce(1), []
+    found = 0
+    for column_index in ("false", "true"):
+        folder = scratch(spark, "paged")
+        events.write.option("parquet.block.row.count.limit", 1000).option("parquet.page.row.count.limit", 100).option("parquet.page.size.row.check.min", 100).parquet(folder)
+        df = spark.read.option("parquet.filter.columnindex.enabled", column_index).parquet(folder).where("event_id < 150")
+        plan = df._jdf.queryExecution().executedPlan()
+        found = len(plan.executeCollect())
+        counts.append(plan.collectLeaves().head().metrics().get("numOutputRows").get().value())
+    return spark.createDataFrame([(found, *counts)], "matching long, rows_of_groups_read long, rows_of_pages_read long")
+
+
+LISTS = {"n": [1, 2, None], "x": [0.5, None, 2.5], "s": ["a", None, "é"], "day": [datetime.date(2020, 1, 2), None, datetime.date(1969, 12, 31)]}
+
+
+@query("SELECT * FROM (VALUES (1, 0.5::DOUBLE, 'a', 18263, 'OPTIONAL', true), (2, NULL, NULL, NULL, 'OPTIONAL', true), (NULL, 2.5, 'é', -1, 'OPTIONAL', true)) AS t(n, x, s, day, kind, uneven_refused)")
+def lists_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "lists")
+    write_parquet(frame(spark, LISTS), path)
+    try:
+        frame(spark, LISTS | {"n": [1, 2]})
+        refused = False
+    except SchemaError:
+        refused = True
+    kind = open_parquet(spark, path).footer.leaves[0].repetition_type
+    return read_parquet(spark, path, int64="integer64").select("n", "x", "s", F.unix_date("day").alias("day"), F.lit(kind).alias("kind"), F.lit(refused).alias("uneven_refused"))
+
+
+@query("SELECT o_orderkey, o_totalprice::DECIMAL(15,2) AS price, epoch_us(o_orderdate) AS ordered FROM orders")
+def write_decimals_and_wall_clocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decimals stay exact in the file, and wall clocks stay without a zone."""
+    path = scratch(spark, "exact")
+    write_parquet(spark.read.parquet(at(sf_dir, "orders")).select("o_orderkey", F.col("o_totalprice").cast("decimal(15,2)").alias("price"), "o_orderdate"), path)
+    return spark.read.parquet(path).select("o_orderkey", "price", F.unix_micros(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("o_orderdate")).cast("timestamp")).alias("ordered"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

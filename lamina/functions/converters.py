@@ -114,11 +114,14 @@ def decimal_double(c: Column) -> Column:
 
 
 def bad_byte(c: Column) -> Column:
-    """Where (from 1) the first byte stands that isn't UTF-8 or is a NUL; looked for only in a text that has one."""
-    raw, valid = c.cast("binary"), F.make_valid_utf8(c).cast("binary")
-    same = lambda i: F.hex(F.substring(raw, i, F.lit(1))) == F.hex(F.substring(valid, i, F.lit(1)))
-    good = F.aggregate(F.sequence(F.lit(1), F.octet_length(raw)), F.lit(0), lambda n, i: F.when((n == i - 1) & same(i), i).otherwise(n))
-    return F.when(F.is_valid_utf8(c), F.octet_length(F.substring_index(c, "\0", 1))).otherwise(good) + 1
+    """Where (from 1) the first byte stands that isn't UTF-8 or is a NUL.
+
+    Bytes that aren't UTF-8 become U+FFFD; a text's own such characters make
+    way for as many other bytes before.
+    """
+    repaired = F.make_valid_utf8(F.replace(c, F.lit("\ufffd"), F.lit("???")))
+    before = F.when(F.is_valid_utf8(c), F.substring_index(c, "\0", 1)).otherwise(F.substring_index(repaired, "\ufffd", 1))
+    return F.octet_length(before) + 1
 
 
 def text(c: Column, name: str, row: Column | None = None) -> Column:

@@ -252,10 +252,17 @@ class ParquetFile:
         leaves = self.footer.leaves
         out = df.select(*[converters.convert(r, leaves[r.column - 1], F.col(quoted(r.path)), validate_text=validate_text, row_index=row_index).alias(r.path) for r in rows], *([F.col("_metadata.row_index").alias(PLACE)] if numbered else []))
         if verbose:
-            n = len(self.groups(row_groups) or []) if row_groups is not None else len(self.footer.row_groups)
-            log.warning("%d rows; %d of %d columns; %d of %d row groups\n%s", self.dim[0], len(rows), self.dim[1], n, len(self.footer.row_groups), "\n".join(f"  {r.path}: {r.physical_type} {r.logical_type or ''} -> {r.r_type} ({r.converter})" for r in rows))
+            log.warning("%s", "\n  ".join(self.report(columns, row_groups, int64=int64, time=time, tz=tz)))
         return out
 
+    def report(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, batch_size: int | None = None, **options) -> list[str]:
+        """What a read will do, as lines: how much of the file, and what each chosen column becomes."""
+        rows, wanted, n = self.selected(columns, self.plan(ReadOptions(**options))), self.groups(row_groups), len(self.footer.row_groups)
+        size = sum(g.rows for g in self.footer.row_groups if wanted is None or g.row_group in wanted)
+        batches = f", batches of {batch_size}" if batch_size else ""
+        head = f"{size} rows, {len(rows)} of {self.dim[1]} columns, {n if wanted is None else len(wanted)} of {n} row groups{batches}"
+        return [head, *(f"{r.path}: {r.physical_type}{f' {r.logical_type}' if r.logical_type else ''} -> {r.r_type} ({r.converter})" for r in rows)]
+
     def lossy_columns(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, **options) -> DataFrame:
         """``path, lost``: values that the read would turn to null, of the columns that have any; one pass over those columns."""
         chosen = ReadOptions(**options)

@@ -92,17 +92,19 @@ def cast(df: DataFrame, fields: list[WriteField], notes: dict) -> DataFrame:
     return df.select(*chosen)
 
 
-def in_unit(df: DataFrame, unit: str | None) -> DataFrame:
-    """``df`` in a copy of its session that writes timestamps in ``unit``; the session itself keeps its settings."""
-    if unit is None:
-        return df
+def with_setting(df: DataFrame, key: str, value: str) -> DataFrame:
+    """``df`` in a copy of its session with another setting; the session itself keeps its own."""
     spark = df.sparkSession
     own = spark._jsparkSession.cloneSession()
-    own.conf().set("spark.sql.parquet.outputTimestampType", f"TIMESTAMP_{unit}")
+    own.conf().set(key, value)
     plan = df._jdf.queryExecution().analyzed()
     return ClassicDataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(own, plan), SparkSession(spark.sparkContext, own))
 
 
+def in_unit(df: DataFrame, unit: str | None) -> DataFrame:
+    return with_setting(df, "spark.sql.parquet.outputTimestampType", f"TIMESTAMP_{unit}") if unit else df
+
+
 def annotated(tree: dict, fields: list[WriteField], pairs: list[tuple[str, str | None]], keys: list[dict], statistics: dict[tuple[int, int], tuple]) -> dict:
     """The footer's tree with what Spark's writer has no place for: keys, sort order, geospatial annotations and statistics."""
     text = lambda s: (compact.BINARY, s.encode())
@@ -174,6 +176,9 @@ def _written(df: DataFrame, path: str, compression: str, row_group_size: int | N
     writer = in_unit(df.coalesce(1), _unit(fields)).write.option("compression", CODECS[compression])
     if row_group_size:
         writer = writer.option("parquet.block.row.count.limit", row_group_size)
+    for w in fields:  # only text gets a dictionary
+        if w.logical_type != "STRING":
+            writer = writer.option(f"parquet.enable.dictionary#{w.name}", "false")
     for name in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
     _, temporary = hadoop(spark, folder)

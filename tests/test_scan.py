@@ -9,7 +9,9 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from lamina.functions.converters import text
 from lamina.sources.scan import open_parquet, read_parquet, read_plan
 
 UTC = datetime.UTC
@@ -203,8 +205,13 @@ def test_bad_text(spark, tmp_path):
     pq.write_table(pa.table({"t": ["good", "baéd", "fine"]}), path, compression="none", use_dictionary=False, write_statistics=False)
     path.write_bytes(path.read_bytes().replace("aéd".encode(), b"a\xc3ad"))
     f = open_parquet(spark, str(path))
-    with pytest.raises(PySparkException, match="t: invalid UTF-8 or a NUL byte in row 2"):
+    with pytest.raises(PySparkException, match="t: invalid UTF-8 or a NUL byte in row 2, byte 3"):
         f.collect().collect()
+    with pytest.raises(PySparkException, match="row 2, byte 3"):
+        f.numbered_batches().collect()
+    for bad, where in ((b"\xef\xbf\xbd\xc3a", 4), (b"ok\x00", 3), (b"\xed\xa0\x80", 1), (b"a\xc0\x80", 2), (b"abc\xf5", 4)):
+        with pytest.raises(PySparkException, match=f"row 1, byte {where}"):
+            spark.createDataFrame([(bytearray(bad),)], "b binary").select(text(F.col("b").cast("string"), "t", F.lit(0))).collect()
     assert f.collect(validate_text=False).count() == 3
 
 
