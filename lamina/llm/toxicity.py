@@ -101,6 +101,17 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(logit, -40, 40)))
 
 
+def texts_of_buckets(offsets: np.ndarray, word: np.ndarray, ids: np.ndarray, at: np.ndarray, texts: int = 64) -> np.ndarray:
+    """In how many texts each bucket stands; however many words of a text have it, that counts once.  So many texts at a time."""
+    out = np.zeros(BUCKETS, dtype=np.int64)
+    for i in range(0, len(offsets) - 1, texts):
+        own = offsets[i : i + texts + 1]
+        bucket, ends = gather(word[own[0] : own[-1]], ids, at)
+        doc = np.repeat(np.repeat(np.arange(len(own) - 1), np.diff(own)), np.diff(ends))
+        out += np.bincount(distinct_sorted(doc * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS)
+    return out
+
+
 def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, steps: int = 150, rate: float = 0.1, shrink: float = 1e-2, decay: float = 3e-4, seed: int = 1) -> Model:
     """Full-batch Adam on embeddings and softmax weights together, with a group penalty on embeddings.
 
@@ -118,13 +129,12 @@ def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, st
     weight = 1 / np.maximum(np.diff(offsets), 1)[doc]
     ids, at = grams(words)
     sizes = np.diff(at)
-    # Texts of each bucket: a text counts once, however many of its words have the bucket.
-    bucket, ends = gather(word, ids, at)
-    rare = np.bincount(distinct_sorted(np.repeat(doc, np.diff(ends)) * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS) < least
+    rare = texts_of_buckets(offsets, word, ids, at) < least
     # Zero vectors add nothing to a word's mean, but count in its size; only the others are held and trained.
     active = np.flatnonzero(~rare)
-    gram_word = np.repeat(np.arange(len(words)), sizes)[~rare[ids]]
-    ids = (np.cumsum(~rare) - 1)[ids[~rare[ids]]]
+    kept = ~rare[ids]
+    gram_word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)[kept]
+    ids = (np.cumsum(~rare) - 1).astype(np.int32)[ids[kept]]
     rng = np.random.default_rng(seed)
     e, w, b = rng.normal(0, 0.01, (len(active), WIDTH)), rng.normal(0, 0.5, (WIDTH, 2)), np.log(y.mean() / (1 - y.mean()))
     me, ve, mw, vw, mb, vb = np.zeros_like(e), np.zeros_like(e), np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
