@@ -19,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.shared import Cache, gather, stage, text_slices, texts_of
+from lamina.llm.shared import Cache, distinct_sorted, gather, stage, text_slices, texts_of
 from lamina.llm.toxicity import coded_words
 
 K1, B = 1.2, 0.75
@@ -43,8 +44,13 @@ def fold(word: str) -> str:
     return word.strip(STRIP).casefold().replace("\u0307", "")
 
 
+def folded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Row offsets, codes and distinct words; A-Z are folded at once, which leaves fewer words to :func:`fold`."""
+    return coded_words(pc.ascii_lower(texts), lower=False)
+
+
 def words_of(text: str) -> list[str]:
-    _, codes, words = coded_words(pa.array([text], pa.large_string()), lower=False)
+    _, codes, words = folded_words(pa.array([text], pa.large_string()))
     folded = [fold(w) for w in words]
     return [folded[c] for c in codes.tolist() if folded[c]]
 
@@ -176,13 +182,15 @@ def leaks_in(indexes: Indexes, texts: pa.Array, known: Cache) -> list[tuple[int,
     """(row, item_id, score, question overlap, answer overlap) of verified pairs."""
     if not indexes.classes:
         return []
-    offsets, codes, words = coded_words(texts, lower=False)
+    offsets, codes, words = folded_words(texts)
     known.room()
-    for w in words:
-        if w not in known:
-            f = fold(w)
-            known[w] = indexes.terms.get(f, -1) if f else -2
-    term = np.array([known[w] for w in words] or [-1], dtype=np.int64)[codes]
+    numbers, terms = list(map(known.get, words)), indexes.terms.get
+    for i, n in enumerate(numbers):
+        if n is None:
+            w = words[i]
+            f = w if w.isascii() and w.isalpha() else fold(w)
+            numbers[i] = known[w] = terms(f, -1) if f else -2
+    term = np.array(numbers or [-1], dtype=np.int64)[codes]
     # What is no word at all takes no place.
     some = term > -2
     offsets = np.concatenate([[0], np.cumsum(some)])[offsets]
@@ -209,7 +217,7 @@ def _candidates(index: Index, offsets: np.ndarray, term: np.ndarray) -> dict[tup
     # A cheap bound first, with repeats: most passages end here.
     total = np.bincount(passage, weights=index.most[every], minlength=first[-1])
     live = total[passage] >= SHARE - 1e-9
-    key = np.unique(passage[live] * len(index.most) + every[live])
+    key = distinct_sorted(passage[live] * len(index.most) + every[live])
     numbers, starts = np.unique(key // len(index.most), return_index=True)
     best: dict[tuple[int, int], float] = {}
     if len(numbers):
