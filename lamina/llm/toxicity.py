@@ -127,8 +127,11 @@ def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, st
     offsets, word = distinct(offsets, codes, len(words))
     doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
     weight = 1 / np.maximum(np.diff(offsets), 1)[doc]
-    ids, at = grams(words)
-    sizes = np.diff(at)
+    parts = [grams(words[i : i + 20_000]) for i in range(0, len(words), 20_000)]  # so that memory stays small
+    ids = np.concatenate([x.astype(np.int32) for x, _ in parts])
+    sizes = np.concatenate([np.diff(x) for _, x in parts])
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    del parts
     rare = texts_of_buckets(offsets, word, ids, at) < least
     # Zero vectors add nothing to a word's mean, but count in its size; only the others are held and trained.
     active = np.flatnonzero(~rare)
