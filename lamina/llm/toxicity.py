@@ -67,11 +67,16 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found).astype(np.int64)[order], np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(bare)))])
 
 
+def run_sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of each run of so many values; 0 for an empty one."""
+    sums = np.add.reduceat(np.append(values, 0.0), np.minimum(np.cumsum(counts) - counts, len(values)))
+    return np.where(counts > 0, sums, 0.0)
+
+
 def run_means(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Mean of each run; 0 for an empty one."""
-    sums = np.add.reduceat(np.append(values, 0.0), np.minimum(offsets[:-1], len(values)))
     counts = np.diff(offsets)
-    return np.where(counts > 0, sums / np.maximum(counts, 1), 0.0)
+    return run_sums(values, counts) / np.maximum(counts, 1)
 
 
 @dataclass(frozen=True)
@@ -101,6 +106,19 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(logit, -40, 40)))
 
 
+def bags(texts: list[str], some: int = 256) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Each text's distinct words: offsets, word numbers, and the words that they number.  So many texts at a time."""
+    number: dict[str, int] = {}
+    sizes, found = [np.zeros(1, np.int64)], [np.empty(0, np.int32)]
+    for i in range(0, len(texts), some):
+        offsets, codes, words = coded_words(pa.array(texts[i : i + some], pa.large_string()))
+        offsets, codes = distinct(offsets, codes, len(words))
+        own = np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int32)
+        sizes.append(np.diff(offsets))
+        found.append(own[codes] if len(own) else found[0])
+    return np.cumsum(np.concatenate(sizes)), np.concatenate(found), list(number)
+
+
 def texts_of_buckets(offsets: np.ndarray, word: np.ndarray, ids: np.ndarray, at: np.ndarray, texts: int = 64) -> np.ndarray:
     """In how many texts each bucket stands; however many words of a text have it, that counts once.  So many texts at a time."""
     out = np.zeros(BUCKETS, dtype=np.int64)
@@ -123,31 +141,32 @@ def train(texts: list[str], labels: np.ndarray, prior: float, least: int = 3, st
     base = min(max(prior, 1e-4), 1 - 1e-4)
     if not 0 < y.mean() < 1 if len(y) else True:
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(base / (1 - base))))
-    offsets, codes, words = coded_words(pa.array(texts, pa.large_string()))
-    offsets, word = distinct(offsets, codes, len(words))
-    doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    offsets, word, words = bags(texts)
+    if not words:
+        return Model(np.zeros(BUCKETS, np.float32), float(np.log(base / (1 - base))))
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets))
     weight = 1 / np.maximum(np.diff(offsets), 1)[doc]
-    parts = [grams(words[i : i + 20_000]) for i in range(0, len(words), 20_000)]  # so that memory stays small
-    ids = np.concatenate([x.astype(np.int32) for x, _ in parts])
-    sizes = np.concatenate([np.diff(x) for _, x in parts])
+    parts = [(x.astype(np.int32), np.diff(y)) for x, y in (grams(words[i : i + 20_000]) for i in range(0, len(words), 20_000))]  # so that memory stays small
+    ids, sizes = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
     at = np.concatenate([[0], np.cumsum(sizes)])
-    del parts
     rare = texts_of_buckets(offsets, word, ids, at) < least
     # Zero vectors add nothing to a word's mean, but count in its size; only the others are held and trained.
     active = np.flatnonzero(~rare)
-    kept = ~rare[ids]
-    gram_word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)[kept]
-    ids = (np.cumsum(~rare) - 1).astype(np.int32)[ids[kept]]
+    place = (np.cumsum(~rare) - 1).astype(np.int32)
+    parts = [(place[i[~rare[i]]], np.add.reduceat(~rare[i], np.cumsum(n) - n, dtype=np.int64)) for i, n in parts]  # every word has an n-gram
+    ends = np.cumsum([len(n) for _, n in parts])
+    del ids, at
     rng = np.random.default_rng(seed)
     e, w, b = rng.normal(0, 0.01, (len(active), WIDTH)), rng.normal(0, 0.5, (WIDTH, 2)), np.log(y.mean() / (1 - y.mean()))
     me, ve, mw, vw, mb, vb = np.zeros_like(e), np.zeros_like(e), np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
         u = w[:, 1] - w[:, 0]
-        of_word = np.bincount(gram_word, weights=(e @ u)[ids], minlength=len(words)) / sizes
+        value = e @ u
+        of_word = np.concatenate([run_sums(value[i], n) for i, n in parts]) / sizes
         z = SCALE * np.bincount(doc, weights=weight * of_word[word], minlength=len(texts)) + b
         delta = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / len(y)  # of class 1; class 0 has its negative
         by_word = np.bincount(word, weights=weight * delta[doc], minlength=len(words)) / sizes
-        pull = SCALE * np.bincount(ids, weights=by_word[gram_word], minlength=len(active))
+        pull = SCALE * sum(np.bincount(i, weights=np.repeat(by_word[end - len(n) : end], n), minlength=len(active)) for (i, n), end in zip(parts, ends.tolist(), strict=True))
         ge, gw, gb = np.outer(pull, u) + decay * e, np.outer(e.T @ pull, [-1.0, 1.0]) + decay * w, delta.sum()
         lr = rate * np.sqrt(1 - 0.999**t) / (1 - 0.9**t)
         me, ve = 0.9 * me + 0.1 * ge, 0.999 * ve + 0.001 * ge * ge
