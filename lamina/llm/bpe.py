@@ -170,12 +170,18 @@ def vocabulary(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+#: Stands at every cut of a text; texts that hold it themselves aren't cut.
+CUT = "\x1f"
+#: A Latin-1 letter beside one of these marks is always a boundary of pre-tokens; the apostrophe, which begins contractions, isn't among them.
+LETTER, MARK = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}])", r"([.,;:!?&%#$()\"])"
+
+
 class BatchEncoder:
-    """Encodes many texts at once: each distinct space-led piece of a batch only once.
+    """Encodes many texts at once: each distinct piece of a batch only once.
 
-    A text is cut before its spaces.  Such a cut always falls between two
-    pre-tokens, except within runs of white space; texts with these runs are
-    encoded whole.
+    A text is cut before its spaces and between letters and punctuation.  Such a
+    cut always falls between two pre-tokens, except within runs of white space;
+    texts with these runs are encoded whole.
     """
 
     def __init__(self, bpe: ByteBpe, most: int = 600_000):
@@ -183,46 +189,45 @@ class BatchEncoder:
 
     def ids_of(self, piece: str) -> bytes:
         """Ids of a piece, by way of its pre-tokens, which are what is kept."""
-        body = piece[1:]
-        if body.isalpha() and piece[0] == " ":  # one pre-token
-            words = [piece]
-        elif body[:-1].isalpha() and piece[0] == " " and piece[-1] in ".,":
-            words = [piece[:-1], piece[-1]]
-        elif self.bpe.special_at and self.bpe.special_at.search(piece):
+        if piece.isalpha() or (piece[:1] == " " and piece[1:].isalpha()):  # one pre-token
+            return self.learnt(piece)
+        if self.bpe.special_at and self.bpe.special_at.search(piece):
             return np.array(self.bpe.encode(piece), dtype=np.uint32).tobytes()
-        else:
-            words = PRETOKEN.findall(piece)
-        return self.ids_of_words(words)
+        return self.ids_of_words(PRETOKEN.findall(piece))
+
+    def learnt(self, word: str) -> bytes:
+        found = np.array(self.bpe.encode_pretoken(word.encode().decode("latin-1")), dtype=np.uint32).tobytes()
+        if len(word) <= 64:
+            self.known[word] = found
+        return found
 
     def ids_of_words(self, words: list[str]) -> bytes:
-        out = []
-        for word in words:
-            if (found := self.known.get(word)) is None:
-                found = np.array(self.bpe.encode_pretoken(word.encode().decode("latin-1")), dtype=np.uint32).tobytes()
-                if len(word) <= 64:
-                    self.known[word] = found
-            out.append(found)
-        return b"".join(out)
+        known = self.known.get
+        return b"".join([known(w) or self.learnt(w) for w in words])  # no word is without ids
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts as uint32, and each text's offsets into them."""
         self.known.room()
-        unsafe = np.asarray(pc.match_substring_regex(texts, UNSAFE))
-        whole = {i: texts[i].as_py() for i in np.flatnonzero(unsafe).tolist()}
-        offsets, codes, pieces = split_coded(pc.if_else(pa.array(unsafe), pa.scalar("", texts.type), texts))
-        runs = [self.ids_of(" " + p) for p in pieces]
-        # What begins a text has no space before it: codes of its own, after the others.
-        codes = codes.astype(np.int64)
-        firsts = [pieces[c] for c in codes[offsets[:-1]].tolist()]
-        for i, text in whole.items():
-            firsts[i] = text
-        codes[offsets[:-1]] = np.arange(len(firsts)) + len(runs)
-        runs += [self.ids_of(p) for p in firsts]
-        starts = np.concatenate([[0], np.cumsum([len(r) // 4 for r in runs])])
+        unsafe = pc.or_(pc.match_substring_regex(texts, UNSAFE), pc.match_substring(texts, CUT))
+        whole = np.flatnonzero(np.asarray(unsafe))
+        marked = pc.replace_substring(texts, " ", CUT + " ")
+        for pattern in (LETTER + MARK, MARK + LETTER):
+            marked = pc.replace_substring_regex(marked, pattern, rf"\1{CUT}\2")
+        # A text that isn't cut is an empty one here, whose only piece gets the whole text's ids.
+        offsets, codes, pieces = split_coded(pc.if_else(unsafe, pa.scalar("", texts.type), marked), CUT)
+        # Most pieces are one pre-token each; known ones need no more than a look-up.
+        runs = list(map(self.known.get, pieces))
+        for i, r in enumerate(runs):
+            if r is None:
+                runs[i] = self.ids_of(pieces[i])
+        if len(whole):
+            codes = codes.astype(np.int64)
+            codes[offsets[whole]] = np.arange(len(whole)) + len(runs)
+            runs += [self.ids_of(texts[i].as_py()) for i in whole.tolist()]
+        starts = np.concatenate([[0], np.cumsum([len(r) // 4 for r in runs], dtype=np.int64)])
         ids, ends = gather(codes, np.frombuffer(b"".join(runs), dtype=np.uint32), starts)
         return ids, ends[offsets]
 
-
     def count(self, text: str) -> int:
         """Tokens of one text, by the same kept pre-tokens."""
         if self.bpe.special_at and self.bpe.special_at.search(text):
