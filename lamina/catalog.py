@@ -297,8 +297,9 @@ def geospatial_statistics_of_values(spark: SparkSession, sf_dir: str) -> DataFra
 @query("SELECT (r // 1000 + 1)::INTEGER AS row_group, event_id AS value, true AS found FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS r FROM events)")
 def bloom_filter_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     f, seen = grouped_events(spark, sf_dir), []
+    ids = f.collect(["event_id"], int64="integer64", ordered=True).toArrow().column("event_id").to_pylist()
     for g in f.footer.row_groups:
-        wanted = f.collect(["event_id"], row_groups=[g.row_group], int64="integer64").toArrow().column("event_id").to_pylist()
+        wanted = ids[g.first_row : g.first_row + g.rows]
         seen += [(g.row_group, v, found) for v, found in zip(wanted, inspection.bloom_filter_may_contain(f, "event_id", wanted, g.row_group), strict=True)]
     return spark.createDataFrame(seen, "row_group int, value long, found boolean")
 
@@ -456,9 +457,9 @@ def each(f) -> list:
     return [f(i) for i in range(N)]
 
 
-@query(f"SELECT i::INTEGER AS i, CASE WHEN i % 7 <> 0 THEN i % 3 = 0 END AS b, i / 8.0 AS f, CASE WHEN i % 5 <> 0 THEN i / 3.0 END AS d FROM {NUMBERS}")
+@query(f"SELECT i::INTEGER AS i, CASE WHEN i % 7 <> 0 THEN (i % 3 = 0)::INTEGER END AS b, i / 8.0 AS f, CASE WHEN i % 5 <> 0 THEN i / 3.0 END AS d FROM {NUMBERS}")
 def scan_boolean_float(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, "plain", {"i": pa.array(range(N), pa.int32()), "b": pa.array(each(lambda i: i % 3 == 0 if i % 7 else None)), "f": pa.array(each(lambda i: i / 8), pa.float32()), "d": pa.array(each(lambda i: i / 3 if i % 5 else None))}).collect()
+    return fixture(spark, "plain", {"i": pa.array(range(N), pa.int32()), "b": pa.array(each(lambda i: i % 3 == 0 if i % 7 else None)), "f": pa.array(each(lambda i: i / 8), pa.float32()), "d": pa.array(each(lambda i: i / 3 if i % 5 else None))}).collect().withColumn("b", F.col("b").cast("int"))
 
 
 @query(f"SELECT i::INTEGER AS i, (i % 256)::INTEGER AS u8, (i * 65)::INTEGER AS u16, (i * 4294967)::DOUBLE AS u32, CASE WHEN x <= 9007199254740992 THEN x::DOUBLE END AS u64, CASE WHEN x <= 9223372036854775807 THEN x::BIGINT END AS u64_bit64 FROM (SELECT i, i::HUGEINT * 18446744073709551 AS x FROM {NUMBERS})")
@@ -468,9 +469,9 @@ def scan_unsigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.collect().join(f.collect(["i", "u64"], int64="integer64").withColumnRenamed("u64", "u64_bit64"), "i")
 
 
-@query(f"SELECT i::INTEGER AS i, NULL::BOOLEAN AS n FROM {NUMBERS}")
+@query(f"SELECT i::INTEGER AS i, 'boolean' AS kind, 1 AS absent FROM {NUMBERS}")
 def scan_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, "null", {"i": pa.array(range(N), pa.int32()), "n": pa.nulls(N)}).collect()
+    return fixture(spark, "null", {"i": pa.array(range(N), pa.int32()), "n": pa.nulls(N)}).collect().select("i", F.typeof("n").alias("kind"), F.col("n").isNull().cast("int").alias("absent"))
 
 
 STAMP = "1577836800000000000 + i * 25200123456789"
@@ -491,7 +492,7 @@ def scan_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda c, a, n: F.substring(F.rpad(F.concat(c, F.when(F.length(c) == 8, ".").otherwise("")), 15, "0"), a, n).cast("long")
     micros = lambda c: ((part(c, 1, 2) * 60 + part(c, 4, 2)) * 60 + part(c, 7, 2)) * 1_000_000 + part(c, 10, 6)
     clock = f.collect(time="hms").select("i", *[micros(F.col(n).cast("string")).alias(f"hms_{n}") for n in kinds])
-    return f.collect().join(clock, "i")
+    return clock.join(f.collect(), "i")  # in the session that knows the TIME type
 
 
 @query("SELECT o_orderkey, (o_orderdate::DATE - DATE '1970-01-01')::INTEGER AS day FROM orders")
@@ -664,12 +665,12 @@ def lists_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, path, int64="integer64").select("n", "x", "s", F.unix_date("day").alias("day"), F.lit(kind).alias("kind"), F.lit(refused).alias("uneven_refused"))
 
 
-@query("SELECT o_orderkey, o_totalprice::DECIMAL(15,2) AS price, epoch_us(o_orderdate) AS ordered FROM orders")
+@query("SELECT o_orderkey, (o_totalprice::DECIMAL(15,2) * 100)::BIGINT AS cents, epoch_us(o_orderdate) AS ordered FROM orders")
 def write_decimals_and_wall_clocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decimals stay exact in the file, and wall clocks stay without a zone."""
     path = scratch(spark, "exact")
     write_parquet(spark.read.parquet(at(sf_dir, "orders")).select("o_orderkey", F.col("o_totalprice").cast("decimal(15,2)").alias("price"), "o_orderdate"), path)
-    return spark.read.parquet(path).select("o_orderkey", "price", F.unix_micros(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("o_orderdate")).cast("timestamp")).alias("ordered"))
+    return spark.read.parquet(path).select("o_orderkey", (F.col("price") * 100).cast("long").alias("cents"), F.unix_micros(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("o_orderdate")).cast("timestamp")).alias("ordered"))
 
 
 def queries() -> dict[str, Query]:

@@ -6,13 +6,15 @@ import datetime
 import struct
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions import geo
 from lamina.plans.types import Leaf
-from lamina.sources.compact import get
-from lamina.sources.footer import ENCRYPTED, MAGIC, FooterError, bound, fetched, hadoop, opened, read_footer, tree_of
+from lamina.sources.compact import Reader, get, read
+from lamina.sources.footer import ENCRYPTED, MAGIC, FooterError, bound, fetched, hadoop, read_footer, tree_of
 from lamina.sources.scan import ParquetFile
 
 #: A bound in the type that its physical type has; at most one field is set.
@@ -44,38 +46,38 @@ def column_statistics(f: ParquetFile) -> DataFrame:
     return f.spark.createDataFrame(rows, f"row_group int, column int, path string, num_values long, null_count long, distinct_count long, min {BOUND}, max {BOUND}")
 
 
+#: Bytes of page indexes that one call fetches at most.
+AT_ONCE = 64 << 20
+
+
 def page_index(f: ParquetFile) -> DataFrame:
-    """One row for each page that an index describes; a side that is missing leaves its columns null."""
-    rows = []
-    leaves = f.footer.leaves
-    wrap = f.spark._jvm.org.apache.parquet.io.api.Binary.fromConstantByteBuffer
-    plain = lambda buffer: bytes(wrap(buffer).getBytes())  # noqa: E731  one call for a whole bound
-    with opened(f.spark, f.path) as reader:
-        for g, block in enumerate(reader.getFooter().getBlocks(), 1):
-            for i, chunk in enumerate(block.getColumns()):
-                columns, offsets = reader.readColumnIndex(chunk), reader.readOffsetIndex(chunk)
-                nulls = list(columns.getNullCounts() or []) if columns is not None else []
-                empty = list(columns.getNullPages()) if columns is not None else []
-                lows, highs = (list(map(plain, side)) for side in ((columns.getMinValues(), columns.getMaxValues()) if columns is not None else ((), ())))
-                pages = offsets.getPageCount() if offsets is not None else len(empty)
-                for p in range(pages):
-                    null_page = bool(empty[p]) if p < len(empty) else None
-                    has = null_page is False
-                    rows.append(
-                        (
-                            g,
-                            i + 1,
-                            leaves[i].path,
-                            p + 1,
-                            offsets.getFirstRowIndex(p) if offsets is not None else None,
-                            offsets.getOffset(p) if offsets is not None else None,
-                            offsets.getCompressedPageSize(p) if offsets is not None else None,
-                            nulls[p] if p < len(nulls) else None,
-                            null_page,
-                            bound(lows[p] if has else None, leaves[i]),
-                            bound(highs[p] if has else None, leaves[i]),
-                        )
-                    )
+    """One row for each page that an index describes; a side that is missing leaves its columns null.
+
+    The indexes lie together behind the data; they come over in a few large pieces.
+    """
+    f.still_open()
+    # (row group, column, side, offset, bytes) of every index; side 0 says where pages are, side 1 what is in them.
+    known = [(g, i, side, get(c, 4 + 2 * side), get(c, 5 + 2 * side)) for g, group in enumerate(get(f.tree, 4, (0, []))[1], 1) for i, c in enumerate(get(group, 1)[1]) for side in (0, 1) if 4 + 2 * side in c]
+    found: dict[tuple[int, int, int], dict] = {}
+    pieces: list[list] = []
+    for x in sorted(known, key=lambda x: x[3]):
+        if not pieces or x[3] + x[4] - pieces[-1][0][3] > AT_ONCE:
+            pieces.append([])
+        pieces[-1].append(x)
+    for piece in pieces:
+        start = piece[0][3]
+        raw = fetched(f.spark, f.path, start, max(x[3] + x[4] for x in piece) - start)
+        for g, i, side, at, size in piece:
+            found[g, i, side] = read(raw[at - start : at - start + size])
+    rows, values = [], lambda index, field: get(index, field, (0, []))[1]
+    for g, i in sorted({x[:2] for x in known}):
+        places, content, leaf = values(found.get((g, i, 0), {}), 1), found.get((g, i, 1), {}), f.footer.leaves[i]
+        empty, lows, highs, nulls = (values(content, k) for k in (1, 2, 3, 5))
+        for p in range(len(places) or len(empty)):
+            null_page = empty[p] if p < len(empty) else None
+            ends = [bound(side[p] if null_page is False else None, leaf) for side in (lows, highs)] if empty else [bound(None, leaf)] * 2
+            place = (get(places[p], 3), get(places[p], 1), get(places[p], 2)) if places else (None, None, None)
+            rows.append((g, i + 1, leaf.path, p + 1, *place, nulls[p] if p < len(nulls) else None, null_page, *ends))
     return f.spark.createDataFrame(rows, f"row_group int, column int, path string, page int, first_row long, offset long, compressed_bytes int, null_count long, null_page boolean, min {BOUND}, max {BOUND}")
 
 
@@ -127,7 +129,7 @@ def reduced(value, leaf: Leaf):
         if isinstance(value, bool) or not isinstance(value, int | float) or value != int(value):
             raise ValueError(f"{value!r} isn't a whole number, as column `{leaf.path}` holds.")
         value, bits = int(value), 32 if physical == "INT32" else 64
-        unsigned = leaf.details.get("signed") == "false"
+        unsigned = kind == "INTEGER" and leaf.details.get("signed") == "false"
         low, high = (0, (1 << bits) - 1) if unsigned else (-(1 << (bits - 1)), (1 << (bits - 1)) - 1)
         if not low <= value <= high:
             raise ValueError(f"{value} is out of the range of column `{leaf.path}`.")
@@ -147,24 +149,43 @@ def reduced(value, leaf: Leaf):
     return bytes(value)
 
 
+#: Fixed by the format: the odd numbers that pick a bit in each of a block's eight words.
+SALT = np.array([0x47B6137B, 0x44974D91, 0x8824AD5B, 0xA2B7289D, 0x705495C7, 0x2DF1424B, 0x9EFC4947, 0x5C6BFB31], dtype=np.uint32)
+
+
+def bloom_bits(f: ParquetFile, row_group: int, leaf: Leaf) -> np.ndarray | None:
+    """The filter's blocks of eight 32-bit words, or None if the column chunk has no filter."""
+    meta = get(get(get(f.tree, 4)[1][row_group - 1], 1)[1][leaf.column - 1], 3, {})
+    if 14 not in meta:
+        return None
+    header = Reader(fetched(f.spark, f.path, get(meta, 14), min(64, f.size - get(meta, 14))))
+    size = get(header.struct(), 1)
+    return np.frombuffer(fetched(f.spark, f.path, get(meta, 14) + header.at, size), "<u4").reshape(-1, 8)
+
+
 def bloom_filter_may_contain(f: ParquetFile, column: str, values: Sequence, row_group: int = 1) -> list[bool | None]:
     """Whether each value may be in the row group; False is certain, None stands for None.
 
-    Hashes plain bytes, so that it doesn't depend on which width the bridge
-    picks for a number.
+    The filter comes over once; values are hashed as the plain bytes that the
+    column would store, and looked up all together.
     """
+    f.still_open()
     (number,) = f.groups([row_group])
     leaf = next((x for x in f.footer.leaves if x.path == column), None)
     if leaf is None:
         raise ValueError(f"the file has no column `{column}`")
     plain = [None if v is None else reduced(v, leaf) for v in values]
-    with opened(f.spark, f.path) as reader:
-        chunk = reader.getFooter().getBlocks()[number - 1].getColumns()[leaf.column - 1]
-        found = reader.readBloomFilter(chunk)
-        if found is None:
-            raise ValueError(f"column `{column}` has no bloom filter in row group {number}.")
-        binary = f.spark._jvm.org.apache.parquet.io.api.Binary
-        return [None if p is None else bool(found.findHash(found.hash(binary.fromConstantByteArray(p)))) for p in plain]
+    blocks = bloom_bits(f, number, leaf)
+    if blocks is None:
+        raise ValueError(f"column `{column}` has no bloom filter in row group {number}.")
+    some = [i for i, p in enumerate(plain) if p is not None]
+    out: list[bool | None] = [None] * len(plain)
+    h = np.array([xxhash.xxh64_intdigest(plain[i]) for i in some], dtype=np.uint64)
+    block = ((h >> np.uint64(32)) * np.uint64(len(blocks)) >> np.uint64(32)).astype(np.int64)
+    bits = np.uint32(1) << ((h & np.uint64(0xFFFFFFFF)).astype(np.uint32)[:, None] * SALT[None, :] >> np.uint32(27))
+    for i, held in zip(some, ((blocks[block] & bits) == bits).all(axis=1).tolist(), strict=True):
+        out[i] = held
+    return out
 
 
 def _declared(spark: SparkSession, path: str) -> Iterator[tuple[str, bool]]:

@@ -20,7 +20,7 @@ from lamina.functions import converters
 from lamina.plans.plan import PlanRow, ReadOptions, build_plan, plan_frame
 from lamina.plans.types import Leaf
 from lamina.session import run_dir
-from lamina.sources.footer import Footer, bound, hadoop, read_footer
+from lamina.sources.footer import Footer, bound, hadoop, parsed, tree_of
 
 log = logging.getLogger("lamina")
 #: Schemes whose files are copied into the shared folder; any Hadoop file system is read in place.
@@ -79,7 +79,16 @@ class ParquetFile:
 
     @cached_property
     def footer(self) -> Footer:
-        return read_footer(self.spark, self.path)
+        return parsed(self.path, self.tree)
+
+    @cached_property
+    def tree(self) -> dict:
+        return tree_of(self.spark, self.path)[0]
+
+    @cached_property
+    def size(self) -> int:
+        fs, at = hadoop(self.spark, self.path)
+        return fs.getFileStatus(at).getLen()
 
     def close(self) -> None:
         """Ends the handle; may be called again.  Tables that it gave stay readable, unless the file was downloaded for it."""
@@ -161,7 +170,7 @@ class ParquetFile:
         around = self.bounds_of(wanted) if wanted is not None else None
         if around and around[0].path not in [f.name for f in fields]:
             fields.append(T.StructField(around[0].path, converters.read_type(around[0]), True))
-        df = self.reader([r.path for r in rows]).read.option("parquet.page.verify-checksum.enabled", str(self.checksums).lower()).schema(T.StructType(fields)).parquet(self.path)
+        df = self.reader(rows).read.option("parquet.page.verify-checksum.enabled", str(self.checksums).lower()).schema(T.StructType(fields)).parquet(self.path)
         if wanted is not None:
             df = df.where(self.within(wanted))
             if around:
@@ -215,17 +224,23 @@ class ParquetFile:
                 best = (kept, leaf, low, high)
         return best[1:] if best else None
 
-    def reader(self, paths: list[str]) -> SparkSession:
+    def reader(self, rows: list[PlanRow]) -> SparkSession:
         """The session to read with.
 
-        Spark's vectorized reader can't decode BYTE_STREAM_SPLIT; files that
-        have it in a chosen column are read by the row reader, in a copy of the
-        session, so that other reads keep theirs.
+        Spark's vectorized reader can't decode BYTE_STREAM_SPLIT, and its TIME
+        type has to be turned on.  Files that need either are read in a copy of
+        the session, so that other reads keep their settings.
         """
-        if not any("BYTE_STREAM_SPLIT" in c.encodings for c in self.footer.chunks if c.path in paths):
+        paths, settings = {r.path for r in rows}, {}
+        if any("BYTE_STREAM_SPLIT" in c.encodings for c in self.footer.chunks if c.path in paths):
+            settings["spark.sql.parquet.enableVectorizedReader"] = "false"
+        if any((r.converter or "").startswith("time_hms") for r in rows) and self.spark.conf.get("spark.sql.timeType.enabled", "false") != "true":
+            settings["spark.sql.timeType.enabled"] = "true"
+        if not settings:
             return self.spark
         own = SparkSession(self.spark.sparkContext, self.spark._jsparkSession.cloneSession())
-        own.conf.set("spark.sql.parquet.enableVectorizedReader", "false")
+        for key, value in settings.items():
+            own.conf.set(key, value)
         return own
 
     def collect(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, *, int64: str = "double", time: str = "numeric", tz: str = "UTC", where: str | None = None, where_columns: Sequence[str] = (), validate_text: bool = True, ordered: bool = False, verbose: bool = False, numbered: bool = False) -> DataFrame:
