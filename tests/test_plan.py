@@ -62,3 +62,17 @@ def test_notes():
 def test_options(bad):
     with pytest.raises(ValueError):
         ReadOptions(**bad)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from lamina.session import run_dir, shared_dir
+
+    def session(master, folder=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: folder), sparkContext=SimpleNamespace(master=master, applicationId="app-1"))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+        assert run_dir(session(master, "hdfs://x/shared/")) == "hdfs://x/shared/lamina/app-1"

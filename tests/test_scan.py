@@ -82,6 +82,72 @@ def test_batches(multigroup):
     assert multigroup.collect().count() == 12
 
 
+@pytest.mark.parametrize("sizes", [[1] * 10_000, [7, 1, 30, 2, 2, 100, 5] * 40])
+def test_many_and_uneven_row_groups(spark, tmp_path, sizes):
+    path, total = str(tmp_path / "many.parquet"), sum(sizes)
+    with pq.ParquetWriter(path, pa.schema([("x", pa.int64()), ("y", pa.float64())])) as out:
+        at = 0
+        for n in sizes:
+            out.write_table(pa.table({"x": pa.array(range(at, at + n), pa.int64()), "y": pa.array([i / 2 for i in range(at, at + n)])}))
+            at += n
+    f = open_parquet(spark, path)
+    assert [g.rows for g in f.footer.row_groups] == sizes
+    group = [g for g, n in enumerate(sizes, 1) for _ in range(n)]
+    want, first = {}, 0
+    for g, n in enumerate(sizes, 1):
+        for k in range(0, n, 4):
+            want[len(want) + 1] = (g, list(range(first + k, min(first + k + 4, first + n))))
+        first += n
+    rows = f.numbered_batches(["x"], batch_size=4, int64="integer64").collect()
+    assert [r._row_group for r in sorted(rows, key=lambda r: r.x)] == group
+    got = {}
+    for r in rows:
+        got.setdefault(r._batch, (r._row_group, []))[1].append(r.x)
+    assert {b: (g, sorted(x)) for b, (g, x) in got.items()} == want
+    walked = []
+    f.walk_batches(lambda b, i: walked.append((i, b.column("x").to_pylist())), ["x"], batch_size=4, int64="integer64")
+    assert walked == [(b, x) for b, (_, x) in want.items()]
+    some = list(range(1, len(sizes) + 1, 3))  # more ranges than are written out
+    chosen = set(some)
+    assert sorted(r.x for r in f.collect(["x"], some, int64="integer64").collect()) == [i for i in range(total) if group[i] in chosen]
+    assert sorted({r._batch for r in f.numbered_batches(["x"], some, 4).collect()}) == list(range(1, 1 + sum(-(-sizes[g - 1] // 4) for g in some)))
+
+
+def test_walk_spans(spark, tmp_path, monkeypatch):
+    from lamina.sources import scan
+
+    path = str(tmp_path / "x.parquet")
+    pq.write_table(pa.table({"x": list(range(5000)), "s": [f"text {i}" for i in range(5000)]}), path, row_group_size=700)
+    monkeypatch.setattr(scan, "SPAN", 20_000)
+    whole = [b.to_pylist() for b in open_parquet(spark, path).batches(batch_size=300)]
+    monkeypatch.setattr(scan, "SPAN", 1 << 30)
+    assert [b.to_pylist() for b in open_parquet(spark, path).batches(batch_size=300)] == whole
+    assert [r["s"] for b in whole for r in b] == [f"text {i}" for i in range(5000)]
+    assert [len(b) for b in whole][:4] == [300, 300, 100, 300]
+
+
+def test_closed_handles_and_urls(spark, tmp_path):
+    import http.server
+    import threading
+
+    pq.write_table(pa.table({"x": [1, 2, 3]}), tmp_path / "x.parquet")
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), lambda *a: http.server.SimpleHTTPRequestHandler(*a, directory=str(tmp_path)))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        with open_parquet(spark, f"http://127.0.0.1:{server.server_port}/x.parquet") as f:
+            assert f.collect().count() == 3 and f.path.startswith(("/", "file:"))
+            copy = f.path
+        with pytest.raises(OSError):
+            open_parquet(spark, f"http://127.0.0.1:{server.server_port}/none.parquet")
+    finally:
+        server.shutdown()
+        server.server_close()
+    with pytest.raises(ValueError, match="is closed"):
+        f.collect()
+    with pytest.raises(Exception):  # noqa: B017  the copy went with its handle
+        open_parquet(spark, copy)
+
+
 def test_filter_reaches_the_reader(multigroup):
     df = multigroup.collect(["ratio"], where="`count` > 10000000010", where_columns=["count"])
     assert df.columns == ["ratio"] and df.count() == 2
