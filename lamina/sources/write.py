@@ -24,6 +24,8 @@ from lamina.sources.scan import DOWNLOADED, open_parquet
 CODECS = {"snappy": "snappy", "zstd": "zstd", "gzip": "gzip", "lz4": "lz4_raw", "uncompressed": "uncompressed"}
 #: A value of each type that can be written.
 NEVER = {"boolean": False, "int": 0, "bigint": 0, "float": 0.0, "double": 0.0, "string": "", "binary": b"", "date": datetime.date(1970, 1, 1), "timestamp": datetime.datetime(1970, 1, 1)}
+#: The share of absent values that a bloom filter may take for present, where it is sized by its row group's rows.
+FALSE_POSITIVES = 1e-4
 #: Field metadata key under which files of a dataset carry a sort order; a single file has it in its footer.
 SORTED = "lamina.sorted_by"
 SPARKS_OWN = "org.apache.spark."
@@ -181,6 +183,8 @@ def _written(df: DataFrame, path: str, compression: str, row_group_size: int | N
             writer = writer.option(f"parquet.enable.dictionary#{w.name}", "false")
     for name in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        if row_group_size:  # a row group has no more values; else each filter has 1 MB, and all are held until the file ends
+            writer = writer.option(f"parquet.bloom.filter.expected.ndv#{name}", row_group_size).option(f"parquet.bloom.filter.fpp#{name}", FALSE_POSITIVES)
     _, temporary = hadoop(spark, folder)
     try:
         writer.parquet(folder)
