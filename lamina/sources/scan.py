@@ -20,7 +20,7 @@ from lamina.functions import converters
 from lamina.plans.plan import PlanRow, ReadOptions, build_plan, plan_frame
 from lamina.plans.types import Leaf
 from lamina.session import run_dir
-from lamina.sources.footer import Footer, bound, hadoop, parsed, tree_of
+from lamina.sources.footer import Footer, bound, hadoop, parsed, read_footer, tree_of
 
 log = logging.getLogger("lamina")
 #: Schemes whose files are copied into the shared folder; any Hadoop file system is read in place.
@@ -366,9 +366,55 @@ def open_parquet(spark: SparkSession, path: str, verify_checksums: bool = True)
     return ParquetFile(spark, path, verify_checksums)
 
 
+#: What leaves of a folder's files must have in common; where one file's column is optional, the folder's is.
+SHARED = ("path", "physical_type", "logical_type", "logical_details", "type_length", "max_repetition_level")
+
+
+class ParquetFolder(ParquetFile):
+    """The files of a folder as one table, if their columns agree.
+
+    Rows and row groups have numbers within a file only, so neither can be
+    chosen, ordered by or asked for here.
+    """
+
+    @cached_property
+    def footer(self) -> Footer:
+        fs, at = hadoop(self.spark, self.path)
+        found = [s for s in fs.listStatus(at) if not s.getPath().getName().startswith(("_", "."))]
+        if any(s.isDirectory() for s in found):
+            raise ValueError(f"{self.asked} has folders within; open them one by one")
+        if not found:
+            raise ValueError(f"{self.asked} has no files")
+        with ThreadPoolExecutor(8) as pool:
+            footers = list(pool.map(lambda path: read_footer(self.spark, path), sorted(s.getPath().toString() for s in found)))
+        for f in footers[1:]:
+            if [[getattr(x, k) for k in SHARED] for x in f.leaves] != [[getattr(x, k) for k in SHARED] for x in footers[0].leaves]:
+                raise ValueError(f"columns of {f.path} differ from those of {footers[0].path}")
+        leaves = tuple(max(x, key=lambda leaf: leaf.max_definition_level) for x in zip(*[f.leaves for f in footers], strict=True))
+        return Footer(self.path, leaves, tuple(g for f in footers for g in f.row_groups), (), tuple(c for f in footers for c in f.chunks), sum(f.declared_rows for f in footers))
+
+    def groups(self, row_groups: Sequence[int] | None) -> None:
+        if row_groups is not None:
+            raise ValueError("row_groups: they have numbers within a file, and this is a folder")
+
+    def collect(self, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, *, ordered: bool = False, numbered: bool = False, **options) -> DataFrame:
+        if ordered or numbered:
+            raise ValueError("ordered, numbered: rows have places within a file, and this is a folder")
+        return super().collect(columns, row_groups, **options)
+
+
+def opened(spark: SparkSession, path: str) -> ParquetFile:
+    """A file, or a folder of files."""
+    if isinstance(path, str) and path and not DOWNLOADED.match(path):
+        fs, at = hadoop(spark, path)
+        if fs.exists(at) and fs.getFileStatus(at).isDirectory():
+            return ParquetFolder(spark, path)
+    return ParquetFile(spark, path)
+
+
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None, row_groups: Sequence[int] | None = None, **options) -> DataFrame:
-    """Opens and collects.  A downloaded copy stays for the lazy table; clear_shared() removes it."""
-    return ParquetFile(spark, path).collect(columns, row_groups, **options)
+    """Opens a file, or a folder of files with the same columns, and collects.  A downloaded copy stays for the lazy table; clear_shared() removes it."""
+    return opened(spark, path).collect(columns, row_groups, **options)
 
 
 def read_plan(spark: SparkSession, x, *, int64: str = "double", time: str = "numeric", tz: str = "UTC") -> DataFrame:

@@ -322,3 +322,34 @@ def test_stream(spark, tmp_path):
     out = stream.writeStream.format("memory").queryName("arrived").option("checkpointLocation", str(tmp_path / "offsets")).trigger(availableNow=True).start()
     out.awaitTermination()
     assert sorted(r.x for r in spark.table("arrived").collect()) == [1.0, 2.0]
+
+
+@pytest.fixture
+def folder(tmp_path):
+    """Three files with nested columns, one of them without rows, and what Spark leaves beside them."""
+    out = tmp_path / "table.parquet"
+    out.mkdir()
+    for i, ids in enumerate(([1, 2], [3], [])):
+        pq.write_table(pa.table({"id": pa.array(ids, pa.int64()), "at": pa.array([[float(x)] for x in ids], pa.list_(pa.float32())), "label": pa.array([x * 10 for x in ids], pa.int32())}), out / f"part-{i}.parquet")
+    (out / "_SUCCESS").write_bytes(b"")
+    return out
+
+
+def test_a_folder_is_read_whole(spark, folder):
+    df = read_parquet(spark, str(folder))
+    assert df.columns == ["id", "label"]
+    assert sorted(tuple(r) for r in df.collect()) == [(1.0, 10), (2.0, 20), (3.0, 30)]
+    assert read_parquet(spark, str(folder), ["label"], where="id > 1", where_columns=["id"], int64="integer64").count() == 2
+    for more in ({"row_groups": [1]}, {"ordered": True}, {"numbered": True}):
+        with pytest.raises(ValueError, match="folder"):
+            read_parquet(spark, str(folder), **more)
+
+
+def test_a_folder_of_different_columns_is_refused(spark, folder, tmp_path):
+    pq.write_table(pa.table({"id": pa.array([4], pa.int32())}), folder / "part-3.parquet")
+    with pytest.raises(ValueError, match="differ"):
+        read_parquet(spark, str(folder))
+    (tmp_path / "none").mkdir()
+    for path, says in ((tmp_path, "folders within"), (tmp_path / "none", "no files")):
+        with pytest.raises(ValueError, match=says):
+            read_parquet(spark, str(path))
