@@ -418,10 +418,10 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def read_plan(spark: SparkSession, x, *, int64: str = "double", time: str = "numeric", tz: str = "UTC") -> DataFrame:
-    """The plan of a path, an open file, or a list of leaves."""
+    """The plan of a path (of a file or a folder of files), an open file, or a list of leaves."""
     options = ReadOptions(int64, time, tz)
     if isinstance(x, str):
-        x = ParquetFile(spark, x)
+        x = opened(spark, x)
     if isinstance(x, ParquetFile):
         x = x.footer.leaves
     if not isinstance(x, list | tuple):

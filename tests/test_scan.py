@@ -353,3 +353,8 @@ def test_a_folder_of_different_columns_is_refused(spark, folder, tmp_path):
     for path, says in ((tmp_path, "folders within"), (tmp_path / "none", "no files")):
         with pytest.raises(ValueError, match=says):
             read_parquet(spark, str(path))
+
+
+def test_plan_of_a_folder(spark, folder):
+    plan = read_plan(spark, str(folder)).collect()
+    assert [(r.column, r.path, r.nested, r.collectible) for r in plan] == [(1, "id", False, True), (2, "at.list.element", True, False), (3, "label", False, True)]
