@@ -24,6 +24,8 @@ from lamina.sources.scan import DOWNLOADED, open_parquet
 CODECS = {"snappy": "snappy", "zstd": "zstd", "gzip": "gzip", "lz4": "lz4_raw", "uncompressed": "uncompressed"}
 #: A value of each type that can be written.
 NEVER = {"boolean": False, "int": 0, "bigint": 0, "float": 0.0, "double": 0.0, "string": "", "binary": b"", "date": datetime.date(1970, 1, 1), "timestamp": datetime.datetime(1970, 1, 1)}
+#: Bytes of a row group whose rows are counted; Parquet's writer takes less where the heap is smaller.
+BY_ROWS = 1 << 31
 #: The share of absent values that a bloom filter may take for present, where it is sized by its row group's rows.
 FALSE_POSITIVES = 1e-4
 #: Field metadata key under which files of a dataset carry a sort order; a single file has it in its footer.
@@ -177,7 +179,8 @@ def _written(df: DataFrame, path: str, compression: str, row_group_size: int | N
     folder = f"{at.getParent()}/.{at.getName()}-{uuid.uuid4().hex}"
     writer = in_unit(df.coalesce(1), _unit(fields)).write.option("compression", CODECS[compression])
     if row_group_size:
-        writer = writer.option("parquet.block.row.count.limit", row_group_size)
+        # Rows decide, not bytes, where a row group ends, as far as the task's memory lets it.
+        writer = writer.option("parquet.block.row.count.limit", row_group_size).option("parquet.block.size", BY_ROWS)
     for w in fields:  # only text gets a dictionary
         if w.logical_type != "STRING":
             writer = writer.option(f"parquet.enable.dictionary#{w.name}", "false")
